@@ -17,9 +17,19 @@ def _empty() -> Column:
 
 def lines_of(text: Column) -> Column:
     """Lines of a whole text: a final terminator ends the last line (no empty line after it);
-    an empty text has no lines."""
-    body = F.regexp_replace(text, FINAL_LINE_BREAK, "")
-    return F.when(text == "", _empty()).otherwise(F.split(body, LINE_BREAK))
+    an empty text has no lines.
+
+    Texts without a carriage return (the usual case) take the fast path: a literal one-character
+    split and an ``endswith`` check, no regular expression.
+    """
+    lf_body = F.when(text.endswith("\n"), F.substr(text, F.lit(1), F.length(text) - 1)).otherwise(text)
+    lf_lines = F.split(lf_body, "\n")
+    any_lines = F.split(F.regexp_replace(text, FINAL_LINE_BREAK, ""), LINE_BREAK)
+    return (
+        F.when(text == "", _empty())
+        .when(F.contains(text, F.lit("\r")), any_lines)
+        .otherwise(lf_lines)
+    )
 
 
 def tokens_of(line: Column) -> Column:
