@@ -8,6 +8,7 @@ from the documented semantics, not generated from the Spark plans.
 from __future__ import annotations
 
 from visitlens.functions.buckets import STEP_BUCKETS, VISIT_BUCKETS
+from visitlens.params import FIELD_NAMES
 from visitlens.plans import queries as Q
 
 SPANS = "CASE user_id % 6 WHEN 0 THEN 5 WHEN 1 THEN 11 WHEN 2 THEN 90 WHEN 3 THEN 300 WHEN 4 THEN 1500 ELSE 3600 END"
@@ -183,6 +184,24 @@ SELECT word, count(*) AS count FROM words GROUP BY word
 """
 
 
+DAY_TASKS = """
+WITH days AS (SELECT DISTINCT strftime(ts, '%Y-%m-%d') AS day FROM events WHERE ts IS NOT NULL),
+tasks AS (
+  SELECT CAST(replace(day, '-', '') AS BIGINT) AS task_id, 'sessions of ' || day AS task_name,
+    day || ' 00:00:00' AS create_time, CAST(NULL AS VARCHAR) AS start_time, CAST(NULL AS VARCHAR) AS finish_time,
+    'session' AS task_type, 'created' AS task_status,
+    '{"startDate": ["' || day || '"], "endDate": ["' || day || '"], "startAge": ["10"], "endAge": ["50"], "sex": ["'
+      || CASE WHEN dayofmonth(CAST(day AS DATE)) % 2 = 0 THEN 'male' ELSE 'female' END || '"]}' AS task_param
+  FROM days)
+"""
+TASK_PARAM_COLUMNS = ", ".join(
+    f"TRY_CAST(json_extract_string(task_param, '$.{name}[0]') AS INTEGER) AS {attr}"
+    if attr in ("start_age", "end_age")
+    else f"json_extract_string(task_param, '$.{name}[0]') AS {attr}"
+    for attr, name in FIELD_NAMES.items()
+)
+
+
 def oracle_sql() -> dict[str, str]:
     main = base("main")
     return {
@@ -233,4 +252,6 @@ def oracle_sql() -> dict[str, str]:
               UNION ALL SELECT {_bucket_cases('step_length', STEP_BUCKETS, 'step_length_')} FROM filtered)
             WHERE label IS NOT NULL GROUP BY label""",
         "word_count": WORD_COUNT,
+        "task_params": DAY_TASKS + f"SELECT task_id, {TASK_PARAM_COLUMNS} FROM tasks",
+        "task_lookup": DAY_TASKS + f"SELECT * FROM tasks WHERE task_id = {Q.LOOKUP_TASK_ID}",
     }

@@ -14,6 +14,7 @@ from visitlens.operators import categories, filters, sessions, stats, topsession
 from visitlens.params import TaskParams
 from visitlens.plans.job import SessionJob, SessionPlans
 from visitlens.sources import read_table
+from visitlens.sources.task import day_tasks, find_task, parse_task_params
 
 # Fixed query parameters (mirrored by the oracle SQL).
 TASK_ID = 1
@@ -27,6 +28,7 @@ CITIES = "NATION_1,NATION_2,NATION_10,NATION_20"
 SEX = "male"
 KEYWORDS = "kw1,kw2"
 CATEGORY_IDS = "1,2,3"
+LOOKUP_TASK_ID = 20240108
 
 PARAMS: dict[str, TaskParams] = {
     "scan": TaskParams.from_values(SCAN_RANGE),
@@ -167,6 +169,14 @@ def word_count(spark, data_dir):
     return wordcount.word_count(wordcount.text_lines(docs))
 
 
+def task_params(spark, data_dir):
+    return parse_task_params(day_tasks(spark, data_dir))
+
+
+def task_lookup(spark, data_dir):
+    return find_task(day_tasks(spark, data_dir), LOOKUP_TASK_ID)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "action_scan": action_scan,
     "session_aggregate": session_aggregate,
@@ -199,4 +209,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "composite_sort": composite_sort,
     "label_counts": label_counts,
     "word_count": word_count,
+    "task_params": task_params,
+    "task_lookup": task_lookup,
 }

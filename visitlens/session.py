@@ -26,14 +26,19 @@ def build_session(
     master: str | None = None,
     shuffle_partitions: int | None = None,
     conf: dict[str, str] | None = None,
+    hive: bool = False,
 ) -> SparkSession:
     """Build (or reuse) a session with the engine's defaults.
 
     On a cluster pass ``master=None`` and let spark-submit decide; tests pass ``local[*]``.
+    ``hive=True`` reads the action and user tables from a Hive metastore; otherwise the session's
+    default catalog (temp views, paths) is used.
     """
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
+    if hive:
+        builder = builder.enableHiveSupport()
     settings = dict(DEFAULT_CONF)
     if shuffle_partitions:
         settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
