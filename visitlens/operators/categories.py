@@ -45,6 +45,37 @@ def category_counts(detail: DataFrame) -> DataFrame:
     )
 
 
+def session_category_activity(actions: DataFrame) -> DataFrame:
+    """Clicks, orders and payments per (session_id, category_id), aggregated map-side.
+
+    This is the narrow form the reports need: category counts and per-session clicks are sums
+    over it. Joining it (instead of raw action rows) to the filtered sessions shuffles at most one
+    row per (session, category) and map task, and a session with a huge share of all actions
+    shrinks to one row per category it touched before it reaches the join.
+    """
+    events = F.concat(
+        _tagged(_click_ids(), CLICK),
+        _tagged(csv_ids(F.col("order_category_ids")), ORDER),
+        _tagged(csv_ids(F.col("pay_category_ids")), PAY),
+    )
+    kind = F.col("kind")
+    return (
+        actions.select("session_id", F.inline(events))
+        .groupBy("session_id", "category_id")
+        .agg(
+            F.count_if(kind == CLICK).alias("click_count"),
+            F.count_if(kind == ORDER).alias("order_count"),
+            F.count_if(kind == PAY).alias("pay_count"),
+        )
+    )
+
+
+def category_counts_from_activity(activity: DataFrame) -> DataFrame:
+    """A7 over per-session activity: the sums per category (same result as ``category_counts``
+    over the sessions' actions)."""
+    return activity.groupBy("category_id").agg(*[F.sum(c).alias(c) for c in SORT_KEYS])
+
+
 def category_universe(detail: DataFrame) -> DataFrame:
     """Every category id clicked, ordered or paid, once."""
     return category_events(detail).select("category_id").distinct()

@@ -19,6 +19,11 @@ def session_category_clicks(detail: DataFrame) -> DataFrame:
     )
 
 
+def clicks_from_activity(activity: DataFrame) -> DataFrame:
+    """A9 from per-session activity: the (session, category) pairs with at least one click."""
+    return activity.where(F.col("click_count") > 0).select("session_id", "category_id", "click_count")
+
+
 def top_sessions(clicks: DataFrame, top_categories: DataFrame, task_id: int, n: int = 10, n_categories: int = 10) -> DataFrame:
     """K2: for each top category the n sessions with most clicks on it (session id breaks ties).
 
@@ -41,7 +46,9 @@ def top_session_detail(
 
     By default an inner join on session_id: a session that is top in k categories yields its
     detail rows k times (one copy per category list). ``distinct=True`` gives each session's
-    rows once (left semi join). The top list is bounded (categories x n), so it is broadcast.
+    rows once (left semi join). The top list is bounded (categories x n), so it is broadcast and
+    ``detail`` is never shuffled: it may be the task's whole action scan, because top sessions are
+    filtered sessions and a filtered session's detail is all of its actions in the date range.
     """
     ids = top.select("session_id")
     if distinct:

@@ -84,8 +84,15 @@ class SessionPlans:
 
     @cached_property
     def detail_actions(self) -> DataFrame:
-        """Actions of the filtered sessions, read by category counts and top sessions."""
-        return self._keep(sessions.actions_of_sessions(self.actions, self.filtered))
+        """Actions of the filtered sessions (J2). The reports below do not need these raw rows."""
+        return sessions.actions_of_sessions(self.actions, self.filtered)
+
+    @cached_property
+    def session_activity(self) -> DataFrame:
+        """Per (session, category) click/order/pay counts of the filtered sessions: the narrow
+        input of both category reports, read twice, so materialised when the job runs."""
+        activity = categories.session_category_activity(self.actions)
+        return self._keep(activity.join(self.filtered.select("session_id"), "session_id", "left_semi"))
 
     @cached_property
     def session_detail(self) -> DataFrame:
@@ -119,7 +126,7 @@ class SessionPlans:
 
     @cached_property
     def category_counts(self) -> DataFrame:
-        return categories.category_counts(self.detail_actions)
+        return categories.category_counts_from_activity(self.session_activity)
 
     @cached_property
     def top10_category(self) -> DataFrame:
@@ -127,7 +134,7 @@ class SessionPlans:
 
     @cached_property
     def session_category_clicks(self) -> DataFrame:
-        return topsessions.session_category_clicks(self.detail_actions)
+        return topsessions.clicks_from_activity(self.session_activity)
 
     @cached_property
     def top10_session(self) -> DataFrame:
@@ -140,7 +147,7 @@ class SessionPlans:
     def top10_session_detail(self) -> DataFrame:
         j = self.job
         return topsessions.top_session_detail(
-            self.top10_session, self.detail_actions, j.task_id, row_bound=j.top_categories * j.top_sessions
+            self.top10_session, self.actions, j.task_id, row_bound=j.top_categories * j.top_sessions
         )
 
     def results(self) -> dict[str, DataFrame]:

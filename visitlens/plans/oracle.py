@@ -235,6 +235,7 @@ def oracle_sql() -> dict[str, str]:
         "pay_category_counts": main
         + "SELECT category_id, count(*) AS pay_count FROM cat_events WHERE kind = 2 GROUP BY category_id",
         "category_counts": main + "SELECT * FROM category_counts",
+        "category_counts_detail": main + "SELECT * FROM category_counts",
         "category_counts_joined": main + "SELECT * FROM category_counts",
         "top10_category": main
         + f"SELECT {TASK}, category_id, click_count, order_count, pay_count FROM top10",

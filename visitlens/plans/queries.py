@@ -131,6 +131,11 @@ def category_counts(spark, data_dir):
     return plans(spark, data_dir, "main").category_counts
 
 
+def category_counts_detail(spark, data_dir):
+    """A7 in one pass over the filtered sessions' raw actions (the job uses per-session activity)."""
+    return categories.category_counts(plans(spark, data_dir, "main").detail_actions)
+
+
 def category_counts_joined(spark, data_dir):
     return categories.category_counts_joined(plans(spark, data_dir, "main").detail_actions)
 
@@ -153,7 +158,7 @@ def top10_session_detail(spark, data_dir):
 
 def top10_session_detail_distinct(spark, data_dir):
     p = plans(spark, data_dir, "main")
-    return topsessions.top_session_detail(p.top10_session, p.detail_actions, TASK_ID, distinct=True)
+    return topsessions.top_session_detail(p.top10_session, p.actions, TASK_ID, distinct=True)
 
 
 def composite_sort(spark, data_dir):
@@ -200,6 +205,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "order_category_counts": order_category_counts,
     "pay_category_counts": pay_category_counts,
     "category_counts": category_counts,
+    "category_counts_detail": category_counts_detail,
     "category_counts_joined": category_counts_joined,
     "top10_category": top10_category,
     "session_category_clicks": session_category_clicks,

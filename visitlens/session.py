@@ -10,10 +10,17 @@ from pyspark.sql import SparkSession
 # Settings every run of the engine relies on. AQE re-plans joins from measured sizes (so a
 # broadcast is only chosen for a side that was actually measured small) and splits skewed
 # shuffle partitions; timestamps are wall-clock (timestamp_ntz), the zone is pinned anyway.
+#
+# forceOptimizeSkewedJoin: the detail semi join (actions x filtered sessions on session_id) feeds
+# an aggregate on (session_id, category_id) that would reuse the join's partitioning. Without this
+# flag AQE refuses to split a skewed session there (splitting needs one more shuffle), so a
+# session holding a third of all actions would be joined and aggregated in one task. With it the
+# join is split (SortMergeJoin(skew=true)) and the aggregate gets its own partial+final exchange.
 DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
@@ -50,6 +57,23 @@ def build_session(
     return spark
 
 
+def scale_conf(input_bytes: int, partition_bytes: int = 256 << 20, max_partitions: int = 200_000) -> dict[str, str]:
+    """Partition sizing for a run over ``input_bytes`` of action data on a cluster.
+
+    Scans are split into ``partition_bytes`` pieces; the first shuffle starts with enough
+    partitions that each holds about ``partition_bytes`` of the (pruned) action rows, and AQE
+    coalesces small ones back to the advisory size. Skew thresholds follow the same size.
+    """
+    partitions = max(200, min(max_partitions, -(-input_bytes // partition_bytes)))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * partition_bytes),
+    }
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
