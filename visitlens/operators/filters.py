@@ -66,7 +66,20 @@ def categories_any(params: TaskParams) -> Column | None:
     return _any_listed(F.col("click_category_ids"), params.category_ids)
 
 
+def keywords_flag(params: TaskParams) -> Column | None:
+    """F2 on session facts: the aggregate already flagged sessions that searched a listed keyword."""
+    return None if params.keywords is None else F.col("keyword_match")
+
+
+def categories_flag(params: TaskParams) -> Column | None:
+    """F2 on session facts: the aggregate already flagged sessions that clicked a listed category."""
+    return None if params.category_ids is None else F.col("category_match")
+
+
+# Over enriched session rows that carry the keyword / category lists.
 PREDICATES = (age_between, professional_in, city_in, sex_equals, keywords_any, categories_any)
+# Over enriched session facts (``aggregate_session_facts``), the job's path.
+FACT_PREDICATES = (age_between, professional_in, city_in, sex_equals, keywords_flag, categories_flag)
 
 
 def session_predicate(params: TaskParams, predicates=PREDICATES) -> Column | None:

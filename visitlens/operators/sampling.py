@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from visitlens.functions import day_of, format_time, hour_of, ids_to_csv, int_div, strings_to_csv
-from visitlens.operators.sessions import actions_of_sessions, detail_rows
+from visitlens.operators.sessions import actions_of_sessions, detail_rows, session_sets
 from visitlens.plans.physical import broadcast_if_bounded
 
 DEFAULT_SAMPLE_TOTAL = 100
@@ -54,9 +54,13 @@ def random_extract(
     seed: int | str = 42,
     total: int = DEFAULT_SAMPLE_TOTAL,
     hour_bound: int | None = None,
+    actions: DataFrame | None = None,
 ) -> DataFrame:
     """K4: in every (date, hour), the ``extract_count`` sessions with the smallest sample key.
 
+    When ``filtered`` holds session facts without keyword / category lists (the job's path),
+    the lists of the picked sessions (at most ``total``) are built from ``actions`` afterwards.
+
     ``extract_count <= per_day <= total``, so ``row_number <= total`` (a literal) is implied.
     Stating it lets Spark run a partial WindowGroupLimit on the map side: a huge hour sends at
     most ``total`` rows per map task through the shuffle, and the final window sorts only those.
@@ -68,6 +72,11 @@ def random_extract(
     ranked = ranked.withColumn("pick", F.row_number().over(w)).where(F.col("pick") <= total)
     quotas = broadcast_if_bounded(quota.select("date", "hour", "extract_count"), hour_bound)
     picked = ranked.join(quotas, ["date", "hour"], "inner").where(F.col("pick") <= F.col("extract_count"))
+    if "search_keywords" not in picked.columns:
+        if actions is None:
+            raise ValueError("session facts need the actions to list keywords and categories")
+        sets = session_sets(actions, picked, total)
+        picked = picked.join(broadcast_if_bounded(sets, total), "session_id", "left")
     return picked.select(
         F.lit(task_id).cast("bigint").alias("task_id"),
         "session_id",

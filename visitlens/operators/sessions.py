@@ -6,47 +6,89 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from visitlens.functions import format_time, ids_to_csv, parse_action_time, strings_to_csv
+from visitlens.plans.physical import broadcast_if_bounded
 from visitlens.schemas import SESSION_DETAIL_COLUMNS
 
 
-def aggregate_sessions(actions: DataFrame) -> DataFrame:
-    """One typed row per session_id.
-
-    user_id: smallest user id of the session; search_keywords / click_category_ids: distinct,
-    sorted (empty keywords ignored); start_time / end: min / max parsed action time; visit_length:
-    whole seconds between them; step_length: number of actions.
-
-    Every aggregate here is partial-aggregated map-side (min/max/count/collect_set), so a session
-    that holds a large share of all rows reaches the final aggregate as one partial row per map
-    task, and the sets are bounded by distinct keywords / categories, not by rows.
-    """
+def _session_inputs(actions: DataFrame) -> DataFrame:
     keyword = F.col("search_keyword")
-    acts = actions.select(
+    return actions.select(
         "session_id",
         "user_id",
         F.when(keyword != "", keyword).alias("search_keyword"),
         "click_category_id",
         parse_action_time(F.col("action_time")).alias("action_ts"),
     )
-    grouped = acts.groupBy("session_id").agg(
+
+
+def _scalar_aggregates() -> list:
+    return [
         F.min("user_id").alias("user_id"),
-        F.array_sort(F.collect_set("search_keyword")).alias("search_keywords"),
-        F.array_sort(F.collect_set("click_category_id")).alias("click_category_ids"),
         F.min("action_ts").alias("start_time"),
         F.max("action_ts").alias("end_time"),
         F.count(F.lit(1)).alias("step_length"),
-    )
+    ]
+
+
+def _set_aggregates() -> list:
+    return [
+        F.array_sort(F.collect_set("search_keyword")).alias("search_keywords"),
+        F.array_sort(F.collect_set("click_category_id")).alias("click_category_ids"),
+    ]
+
+
+def _visit_length() -> F.Column:
+    return F.timestamp_diff("SECOND", F.col("start_time"), F.col("end_time")).alias("visit_length")
+
+
+def aggregate_sessions(actions: DataFrame) -> DataFrame:
+    """One typed row per session_id.
+
+    user_id: smallest user id of the session; search_keywords / click_category_ids: distinct,
+    sorted (empty keywords ignored); start_time / end: min / max parsed action time; visit_length:
+    whole seconds between them; step_length: number of actions.
+
+    Every aggregate here is partial-aggregated map-side (min/max/count/collect_set), so a session
+    that holds a large share of all rows reaches the final aggregate as one partial row per map
+    task, and the sets are bounded by distinct keywords / categories, not by rows. The sets make
+    this an object aggregate (sort-based once a task holds many sessions); the job itself uses
+    ``aggregate_session_facts`` and only builds sets for the few sessions it outputs.
+    """
+    grouped = _session_inputs(actions).groupBy("session_id").agg(*_scalar_aggregates(), *_set_aggregates())
     return grouped.select(
-        "session_id",
-        "user_id",
-        "search_keywords",
-        "click_category_ids",
-        F.timestamp_diff("SECOND", F.col("start_time"), F.col("end_time")).alias("visit_length"),
-        "step_length",
-        "start_time",
+        "session_id", "user_id", "search_keywords", "click_category_ids", _visit_length(), "step_length", "start_time"
     )
 
 
+def aggregate_session_facts(
+    actions: DataFrame, keywords: tuple[str, ...] | None = None, category_ids: tuple[str, ...] | None = None
+) -> DataFrame:
+    """A1 without the keyword and category sets: what the job's filters and statistics read.
+
+    Keyword and category any-match become per-session flags (``keyword_match``,
+    ``category_match``: does any action search a listed keyword / click a listed category id,
+    compared as text), so the whole aggregate is a code-generated hash aggregate with map-side
+    partial results, with no object aggregate and no per-task sort of the action rows.
+    """
+    aggs = _scalar_aggregates()
+    if keywords is not None:
+        aggs.append(F.bool_or(F.col("search_keyword").isin(list(keywords))).alias("keyword_match"))
+    if category_ids is not None:
+        hit = F.col("click_category_id").cast("string").isin(list(category_ids))
+        aggs.append(F.bool_or(hit).alias("category_match"))
+    flags = [c for c, on in (("keyword_match", keywords), ("category_match", category_ids)) if on is not None]
+    grouped = _session_inputs(actions).groupBy("session_id").agg(*aggs)
+    return grouped.select("session_id", "user_id", _visit_length(), "step_length", "start_time", *flags)
+
+
+def session_sets(actions: DataFrame, session_ids: DataFrame, row_bound: int | None) -> DataFrame:
+    """Sorted keyword and category sets of the given sessions, from their actions. The id list is
+    broadcast when ``row_bound`` proves it small (a sample, a top-N list)."""
+    ids = broadcast_if_bounded(session_ids.select("session_id"), row_bound)
+    picked = actions.join(ids, "session_id", "left_semi")
+    return _session_inputs(picked).groupBy("session_id").agg(*_set_aggregates())
+
+
 def enrich_sessions(sessions: DataFrame, users: DataFrame) -> DataFrame:
     """Inner join of sessions to users on user_id: sessions without a user disappear.
 

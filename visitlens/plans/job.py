@@ -10,7 +10,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 
 from visitlens.operators import categories, sampling, sessions, stats, topsessions
-from visitlens.operators.filters import filter_sessions
+from visitlens.operators.filters import FACT_PREDICATES, filter_sessions
 from visitlens.params import TaskParams
 from visitlens.plans.physical import materialize
 from visitlens.sinks import ResultSink
@@ -77,10 +77,18 @@ class SessionPlans:
     def enriched(self) -> DataFrame:
         return sessions.enrich_sessions(self.sessions, scan_users(self.user_source))
 
+    @cached_property
+    def session_facts(self) -> DataFrame:
+        """A1 as the job needs it: no keyword / category lists, any-match flags instead."""
+        p = self.job.params
+        return sessions.aggregate_session_facts(self.actions, p.keywords, p.category_ids)
+
     @cached_property
     def filtered(self) -> DataFrame:
-        """Read by statistics, sampling and detail: materialised once when the job runs."""
-        return self._keep(filter_sessions(self.enriched, self.job.params))
+        """Filtered session facts, read by statistics, sampling and the category reports:
+        materialised once when the job runs."""
+        enriched = sessions.enrich_sessions(self.session_facts, scan_users(self.user_source))
+        return self._keep(filter_sessions(enriched, self.job.params, FACT_PREDICATES))
 
     @cached_property
     def detail_actions(self) -> DataFrame:
@@ -117,7 +125,9 @@ class SessionPlans:
     @cached_property
     def random_extract(self) -> DataFrame:
         j = self.job
-        return sampling.random_extract(self.filtered, self.quota, j.task_id, j.seed, j.sample_total, j.hour_bound())
+        return sampling.random_extract(
+            self.filtered, self.quota, j.task_id, j.seed, j.sample_total, j.hour_bound(), actions=self.actions
+        )
 
     @cached_property
     def random_extract_detail(self) -> DataFrame:

@@ -215,6 +215,9 @@ def oracle_sql() -> dict[str, str]:
         "session_filter_keyword": _filter_sql("keyword"),
         "session_filter_category": _filter_sql("category"),
         "session_filter_all": _filter_sql("conjunction"),
+        "session_filter_all_facts": base("conjunction")
+        + """SELECT session_id, user_id, visit_length, step_length,
+            strftime(start_ts, '%Y-%m-%d %H:%M:%S') AS start_time, age, professional, city, sex FROM filtered""",
         "session_stat_counts": main + f"SELECT {STAT_COUNTS} FROM filtered",
         "session_aggr_stat": main
         + f", counts AS (SELECT {STAT_COUNTS} FROM filtered) SELECT {TASK}, session_count, {RATIOS} FROM counts",

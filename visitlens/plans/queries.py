@@ -9,6 +9,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from visitlens.functions import format_time
 
 from visitlens.operators import categories, filters, sessions, stats, topsessions, wordcount
 from visitlens.params import TaskParams
@@ -80,7 +83,17 @@ def session_enriched(spark, data_dir):
 
 
 def session_filter_all(spark, data_dir):
-    return sessions.enriched_output(plans(spark, data_dir, "conjunction").filtered)
+    p = plans(spark, data_dir, "conjunction")
+    return sessions.enriched_output(filters.filter_sessions(p.enriched, p.job.params))
+
+
+def session_filter_all_facts(spark, data_dir):
+    """The same conjunction on the job's path (flags instead of lists); session ids and facts."""
+    p = plans(spark, data_dir, "conjunction")
+    return p.filtered.select(
+        "session_id", "user_id", "visit_length", "step_length", format_time(F.col("start_time")).alias("start_time"),
+        "age", "professional", "city", "sex",
+    )
 
 
 def session_stat_counts(spark, data_dir):
@@ -193,6 +206,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "session_filter_keyword": _filter_query("keyword", filters.keywords_any),
     "session_filter_category": _filter_query("category", filters.categories_any),
     "session_filter_all": session_filter_all,
+    "session_filter_all_facts": session_filter_all_facts,
     "session_stat_counts": session_stat_counts,
     "session_aggr_stat": session_aggr_stat,
     "session_detail": session_detail,
