@@ -54,3 +54,25 @@ def test_composite_descending_sort(spark):
     df = spark.createDataFrame([(30, 35, 40, "1"), (35, 30, 40, "3"), (30, 38, 30, "4")], "a long, b long, c long, label string")
     got = [r["label"] for r in composite_sort(df, keys=("a", "b", "c"), tie_breaker=None).collect()]
     assert got == ["3", "4", "1"]
+
+
+def test_activity_lists_match_session_lists(make_actions):
+    from visitlens.operators.categories import session_activity, session_lists_from_activity
+    from visitlens.operators.sessions import aggregate_sessions
+
+    actions = make_actions(
+        [
+            action("a", keyword="kw2", click=5),
+            action("a", keyword="kw1", orders="7,8"),
+            action("a", keyword="", click=5),
+            action("b", pays="3"),  # no click, no keyword: empty lists
+            action("c"),  # no activity at all: a presence row
+        ]
+    )
+    activity = session_activity(actions)
+    assert activity.where("session_id = 'c'").count() == 1
+    got = {r["session_id"]: (r["search_keywords"], r["click_category_ids"])
+           for r in session_lists_from_activity(activity, aggregate_sessions(actions), 10).collect()}
+    want = {r["session_id"]: (r["search_keywords"], r["click_category_ids"]) for r in aggregate_sessions(actions).collect()}
+    assert got == want
+    assert got["c"] == ([], [])

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from visitlens.functions import csv_ids
 
-CLICK, ORDER, PAY = 0, 1, 2
+CLICK, ORDER, PAY, SEARCH, PRESENT = 0, 1, 2, 3, 4
 SORT_KEYS = ("click_count", "order_count", "pay_count")
 
 
@@ -45,27 +45,43 @@ def category_counts(detail: DataFrame) -> DataFrame:
     )
 
 
-def session_category_activity(actions: DataFrame) -> DataFrame:
-    """Clicks, orders and payments per (session_id, category_id), aggregated map-side.
+def session_activity(actions: DataFrame) -> DataFrame:
+    """Per-session activity, aggregated map-side: one row per (session, category) with its click,
+    order and payment counts, and one row per (session, searched keyword) with its search count.
 
     This is the narrow form the reports need: category counts and per-session clicks are sums
-    over it. Joining it (instead of raw action rows) to the filtered sessions shuffles at most one
-    row per (session, category) and map task, and a session with a huge share of all actions
-    shrinks to one row per category it touched before it reaches the join.
+    over it, and a session's keyword / clicked-category lists are its keyword rows and its
+    clicked categories. Joining it (instead of raw action rows) to the filtered sessions shuffles
+    at most one row per (session, category or keyword) and map task, and a session with a huge
+    share of all actions shrinks to one row per category and keyword it touched.
     """
+    no_id = F.lit(None).cast("bigint")
+    no_keyword = F.lit(None).cast("string")
+
+    def tagged(ids: Column, kind: int) -> Column:
+        return F.transform(ids, lambda x: F.struct(x.alias("category_id"), no_keyword.alias("keyword"), F.lit(kind).alias("kind")))
+
+    keyword = F.col("search_keyword")
+    searched = F.array_compact(F.array(F.when(keyword != "", keyword)))
     events = F.concat(
-        _tagged(_click_ids(), CLICK),
-        _tagged(csv_ids(F.col("order_category_ids")), ORDER),
-        _tagged(csv_ids(F.col("pay_category_ids")), PAY),
+        tagged(_click_ids(), CLICK),
+        tagged(csv_ids(F.col("order_category_ids")), ORDER),
+        tagged(csv_ids(F.col("pay_category_ids")), PAY),
+        F.transform(searched, lambda k: F.struct(no_id.alias("category_id"), k.alias("keyword"), F.lit(SEARCH).alias("kind"))),
     )
+    # An action with no category or keyword leaves a presence row (both NULL), so every session
+    # has at least one activity row and lookups by session can be inner joins.
+    presence = F.array(F.struct(no_id.alias("category_id"), no_keyword.alias("keyword"), F.lit(PRESENT).alias("kind")))
+    events = F.when(F.size(events) == 0, presence).otherwise(events)
     kind = F.col("kind")
     return (
         actions.select("session_id", F.inline(events))
-        .groupBy("session_id", "category_id")
+        .groupBy("session_id", "category_id", "keyword")
         .agg(
             F.count_if(kind == CLICK).alias("click_count"),
             F.count_if(kind == ORDER).alias("order_count"),
             F.count_if(kind == PAY).alias("pay_count"),
+            F.count_if(kind == SEARCH).alias("search_count"),
         )
     )
 
@@ -73,7 +89,25 @@ def session_category_activity(actions: DataFrame) -> DataFrame:
 def category_counts_from_activity(activity: DataFrame) -> DataFrame:
     """A7 over per-session activity: the sums per category (same result as ``category_counts``
     over the sessions' actions)."""
-    return activity.groupBy("category_id").agg(*[F.sum(c).alias(c) for c in SORT_KEYS])
+    rows = activity.where(F.col("category_id").isNotNull())
+    return rows.groupBy("category_id").agg(*[F.sum(c).alias(c) for c in SORT_KEYS])
+
+
+def session_lists_from_activity(
+    activity: DataFrame, sessions: DataFrame, row_bound: int | None, carry: tuple[str, ...] = ()
+) -> DataFrame:
+    """Sorted keyword and clicked-category lists of the given sessions (with their ``carry``
+    columns), read from their activity rows. ``sessions`` is broadcast when ``row_bound`` proves
+    it small, and the activity is streamed past it (inner join: every session has a row)."""
+    from visitlens.plans.physical import broadcast_if_bounded
+
+    picked = broadcast_if_bounded(sessions.select("session_id", *carry), row_bound)
+    rows = activity.join(picked, "session_id", "inner")
+    clicked = F.when(F.col("click_count") > 0, F.col("category_id"))
+    return rows.groupBy("session_id", *carry).agg(
+        F.array_sort(F.collect_set("keyword")).alias("search_keywords"),
+        F.array_sort(F.collect_set(clicked)).alias("click_category_ids"),
+    )
 
 
 def category_universe(detail: DataFrame) -> DataFrame:

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from visitlens.functions import format_time, ids_to_csv, parse_action_time, strings_to_csv
-from visitlens.plans.physical import broadcast_if_bounded
 from visitlens.schemas import SESSION_DETAIL_COLUMNS
 
 
@@ -52,7 +51,7 @@ def aggregate_sessions(actions: DataFrame) -> DataFrame:
     that holds a large share of all rows reaches the final aggregate as one partial row per map
     task, and the sets are bounded by distinct keywords / categories, not by rows. The sets make
     this an object aggregate (sort-based once a task holds many sessions); the job itself uses
-    ``aggregate_session_facts`` and only builds sets for the few sessions it outputs.
+    ``aggregate_session_facts`` and reads lists only for the sessions it outputs.
     """
     grouped = _session_inputs(actions).groupBy("session_id").agg(*_scalar_aggregates(), *_set_aggregates())
     return grouped.select(
@@ -81,14 +80,6 @@ def aggregate_session_facts(
     return grouped.select("session_id", "user_id", _visit_length(), "step_length", "start_time", *flags)
 
 
-def session_sets(actions: DataFrame, session_ids: DataFrame, row_bound: int | None) -> DataFrame:
-    """Sorted keyword and category sets of the given sessions, from their actions. The id list is
-    broadcast when ``row_bound`` proves it small (a sample, a top-N list)."""
-    ids = broadcast_if_bounded(session_ids.select("session_id"), row_bound)
-    picked = actions.join(ids, "session_id", "left_semi")
-    return _session_inputs(picked).groupBy("session_id").agg(*_set_aggregates())
-
-
 def enrich_sessions(sessions: DataFrame, users: DataFrame) -> DataFrame:
     """Inner join of sessions to users on user_id: sessions without a user disappear.
 

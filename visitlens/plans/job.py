@@ -97,9 +97,10 @@ class SessionPlans:
 
     @cached_property
     def session_activity(self) -> DataFrame:
-        """Per (session, category) click/order/pay counts of the filtered sessions: the narrow
-        input of both category reports, read twice, so materialised when the job runs."""
-        activity = categories.session_category_activity(self.actions)
+        """Per-session activity of the filtered sessions (category counts, keyword rows): the
+        narrow input of both category reports and of the sample's lists, materialised when the job
+        runs."""
+        activity = categories.session_activity(self.actions)
         return self._keep(activity.join(self.filtered.select("session_id"), "session_id", "left_semi"))
 
     @cached_property
@@ -126,7 +127,7 @@ class SessionPlans:
     def random_extract(self) -> DataFrame:
         j = self.job
         return sampling.random_extract(
-            self.filtered, self.quota, j.task_id, j.seed, j.sample_total, j.hour_bound(), actions=self.actions
+            self.filtered, self.quota, j.task_id, j.seed, j.sample_total, j.hour_bound(), activity=self.session_activity
         )
 
     @cached_property
