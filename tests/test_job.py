@@ -67,3 +67,14 @@ def test_streaming_counts_equal_batch(spark):
         query.stop()
     batch = {r["category_id"]: (r["click_count"], r["order_count"], r["pay_count"]) for r in category_counts(actions).collect()}
     assert final == batch
+
+
+def test_single_scan_detail_equals_union_of_branches(spark):
+    job = SessionJob(Q.PARAMS["main"], task_id=2, sample_total=1000, seed=Q.SEED)
+    plans = SessionPlans.from_test_tables(spark, DATA, job)
+    def rows(df):
+        return sorted((tuple(map(str, r)) for r in df.collect()))
+
+    one_scan = rows(plans.session_detail_output)
+    union = rows(plans.random_extract_detail.unionByName(plans.top10_session_detail))
+    assert one_scan == union and len(one_scan) > 0

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from visitlens.operators import categories, sampling, sessions, stats, topsessions
 from visitlens.operators.filters import FACT_PREDICATES, filter_sessions
 from visitlens.params import TaskParams
-from visitlens.plans.physical import materialize
+from visitlens.plans.physical import broadcast_if_bounded, materialize
 from visitlens.sinks import ResultSink
 from visitlens.sources import adapter_actions, adapter_users, scan_actions, scan_users
 
@@ -161,12 +161,24 @@ class SessionPlans:
             self.top10_session, self.actions, j.task_id, row_bound=j.top_categories * j.top_sessions
         )
 
+    @cached_property
+    def session_detail_output(self) -> DataFrame:
+        """The ``session_detail`` table: rows of the sampled sessions (once each) and of the top
+        sessions (once per category list they are in), read in ONE scan of the actions joined to
+        the broadcast multiset of those ids (at most sample_total + categories x n rows). Equal to
+        the union of ``random_extract_detail`` and ``top10_session_detail``."""
+        j = self.job
+        ids = self.random_extract.select("session_id").unionByName(self.top10_session.select("session_id"))
+        bound = j.sample_total + j.top_categories * j.top_sessions
+        rows = self.actions.join(broadcast_if_bounded(ids, bound), "session_id", "inner")
+        return sessions.detail_rows(rows, j.task_id)
+
     def results(self) -> dict[str, DataFrame]:
-        """The five result tables (session_detail gets rows from two branches)."""
+        """The five result tables."""
         return {
             "session_aggr_stat": self.aggr_stat,
             "session_random_extract": self.random_extract,
-            "session_detail": self.random_extract_detail.unionByName(self.top10_session_detail),
+            "session_detail": self.session_detail_output,
             "top10_category": self.top10_category,
             "top10_session": self.top10_session,
         }
