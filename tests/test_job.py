@@ -78,3 +78,18 @@ def test_single_scan_detail_equals_union_of_branches(spark):
     one_scan = rows(plans.session_detail_output)
     union = rows(plans.random_extract_detail.unionByName(plans.top10_session_detail))
     assert one_scan == union and len(one_scan) > 0
+
+
+def test_date_partitioned_action_table_prunes(spark):
+    from visitlens.params import TaskParams
+    from visitlens.sinks import write_action_table
+    from visitlens.sources import scan_actions
+
+    path = tempfile.mkdtemp(prefix="visitlens-actions-") + "/user_visit_action"
+    write_action_table(adapter_actions(spark, DATA), path)
+    table = spark.read.parquet(path)
+    scanned = scan_actions(table, TaskParams.from_values({"start_date": "2024-01-08", "end_date": "2024-01-09"}))
+    plan = scanned._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(date" in plan and "2024-01-08" in plan
+    expected = adapter_actions(spark, DATA, "2024-01-08", "2024-01-09").where("date <= '2024-01-09'").count()
+    assert scanned.count() == expected

@@ -39,3 +39,19 @@ class ResultSink:
 def write_tab_separated(df: DataFrame, path: str) -> None:
     """Text sink of key<TAB>count lines; an existing output folder is replaced."""
     df.write.mode("overwrite").option("sep", "\t").option("header", "false").csv(path)
+
+
+def write_action_table(actions: DataFrame, path: str, mode: str = "append") -> None:
+    """Lay out an action table partitioned by ``date``: a task's date range then prunes whole
+    partition folders (PartitionFilters) before any file is opened.
+
+    The REBALANCE hint groups rows by date but lets AQE split a large day over several tasks
+    (and merge small ones), so a day, or a session holding a third of all rows, never lands in
+    one task or one file. Within a file rows are sorted by session and time."""
+    (
+        actions.hint("rebalance", "date")
+        .sortWithinPartitions("date", "session_id", "action_time")
+        .write.mode(mode)
+        .partitionBy("date")
+        .parquet(path)
+    )
