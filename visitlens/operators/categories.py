@@ -6,29 +6,43 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from visitlens.functions import csv_ids
 
 CLICK, ORDER, PAY, SEARCH, PRESENT = 0, 1, 2, 3, 4
 SORT_KEYS = ("click_count", "order_count", "pay_count")
 
 
-def _click_ids() -> Column:
-    return F.array_compact(F.array(F.col("click_category_id")))
+def _ids_sql(column: str) -> str:
+    """SQL of a comma list of ids -> array<bigint>: bad or empty pieces dropped, NULL -> []."""
+    return (
+        f"coalesce(array_compact(transform(split({column}, ','), x -> try_cast(x AS BIGINT))), "
+        "CAST(array() AS ARRAY<BIGINT>))"
+    )
+
+
+def _event_sql(ids: str, kind: int, with_keyword: bool) -> str:
+    keyword = ", 'keyword', CAST(NULL AS STRING)" if with_keyword else ""
+    return f"transform({ids}, x -> named_struct('category_id', x{keyword}, 'kind', {kind}))"
+
 
+def _category_events_sql(with_keyword: bool) -> list[str]:
+    """One event per clicked id, per id of the order list and of the pay list (an id listed
+    twice counts twice). Written as SQL expressions: one call builds the whole array, and the
+    plan is the same as with column objects."""
+    return [
+        _event_sql("filter(array(click_category_id), x -> x IS NOT NULL)", CLICK, with_keyword),
+        _event_sql(_ids_sql("order_category_ids"), ORDER, with_keyword),
+        _event_sql(_ids_sql("pay_category_ids"), PAY, with_keyword),
+    ]
 
-def _tagged(ids: Column, kind: int) -> Column:
-    return F.transform(ids, lambda x: F.struct(x.alias("category_id"), F.lit(kind).alias("kind")))
+
+def _kind_counts(kinds: dict[str, int]) -> list[Column]:
+    return [F.expr(f"count_if(kind = {k})").alias(name) for name, k in kinds.items()]
 
 
 def category_events(detail: DataFrame) -> DataFrame:
     """One row per (category_id, kind) occurrence: a click id, every id of an order list and of a
     pay list (an id listed twice counts twice; unparsable ids are dropped)."""
-    events = F.concat(
-        _tagged(_click_ids(), CLICK),
-        _tagged(csv_ids(F.col("order_category_ids")), ORDER),
-        _tagged(csv_ids(F.col("pay_category_ids")), PAY),
-    )
-    return detail.select(F.inline(events))
+    return detail.selectExpr(f"inline(concat({', '.join(_category_events_sql(False))}))")
 
 
 def category_counts(detail: DataFrame) -> DataFrame:
@@ -37,12 +51,8 @@ def category_counts(detail: DataFrame) -> DataFrame:
     The grouping keys are exactly the category universe, so categories never clicked (ordered,
     paid) get 0 without any outer join. Partial aggregation makes a hot category cheap.
     """
-    kind = F.col("kind")
-    return category_events(detail).groupBy("category_id").agg(
-        F.count_if(kind == CLICK).alias("click_count"),
-        F.count_if(kind == ORDER).alias("order_count"),
-        F.count_if(kind == PAY).alias("pay_count"),
-    )
+    kinds = {"click_count": CLICK, "order_count": ORDER, "pay_count": PAY}
+    return category_events(detail).groupBy("category_id").agg(*_kind_counts(kinds))
 
 
 def session_activity(actions: DataFrame) -> DataFrame:
@@ -54,35 +64,22 @@ def session_activity(actions: DataFrame) -> DataFrame:
     clicked categories. Joining it (instead of raw action rows) to the filtered sessions shuffles
     at most one row per (session, category or keyword) and map task, and a session with a huge
     share of all actions shrinks to one row per category and keyword it touched.
+
+    An action with no category or keyword leaves a presence row (both NULL), so every session has
+    at least one activity row and lookups by session can be inner joins.
     """
-    no_id = F.lit(None).cast("bigint")
-    no_keyword = F.lit(None).cast("string")
-
-    def tagged(ids: Column, kind: int) -> Column:
-        return F.transform(ids, lambda x: F.struct(x.alias("category_id"), no_keyword.alias("keyword"), F.lit(kind).alias("kind")))
-
-    keyword = F.col("search_keyword")
-    searched = F.array_compact(F.array(F.when(keyword != "", keyword)))
-    events = F.concat(
-        tagged(_click_ids(), CLICK),
-        tagged(csv_ids(F.col("order_category_ids")), ORDER),
-        tagged(csv_ids(F.col("pay_category_ids")), PAY),
-        F.transform(searched, lambda k: F.struct(no_id.alias("category_id"), k.alias("keyword"), F.lit(SEARCH).alias("kind"))),
+    searched = (
+        "transform(filter(array(CASE WHEN search_keyword <> '' THEN search_keyword END), k -> k IS NOT NULL), "
+        f"k -> named_struct('category_id', CAST(NULL AS BIGINT), 'keyword', k, 'kind', {SEARCH}))"
     )
-    # An action with no category or keyword leaves a presence row (both NULL), so every session
-    # has at least one activity row and lookups by session can be inner joins.
-    presence = F.array(F.struct(no_id.alias("category_id"), no_keyword.alias("keyword"), F.lit(PRESENT).alias("kind")))
-    events = F.when(F.size(events) == 0, presence).otherwise(events)
-    kind = F.col("kind")
+    events = f"concat({', '.join(_category_events_sql(True) + [searched])})"
+    presence = f"array(named_struct('category_id', CAST(NULL AS BIGINT), 'keyword', CAST(NULL AS STRING), 'kind', {PRESENT}))"
+    kinds = {"click_count": CLICK, "order_count": ORDER, "pay_count": PAY, "search_count": SEARCH}
     return (
-        actions.select("session_id", F.inline(events))
+        actions.selectExpr("session_id", f"{events} AS events")
+        .selectExpr("session_id", f"inline(CASE WHEN size(events) = 0 THEN {presence} ELSE events END)")
         .groupBy("session_id", "category_id", "keyword")
-        .agg(
-            F.count_if(kind == CLICK).alias("click_count"),
-            F.count_if(kind == ORDER).alias("order_count"),
-            F.count_if(kind == PAY).alias("pay_count"),
-            F.count_if(kind == SEARCH).alias("search_count"),
-        )
+        .agg(*_kind_counts(kinds))
     )
 
 
@@ -127,7 +124,7 @@ def click_category_counts(detail: DataFrame) -> DataFrame:
 def _list_counts(detail: DataFrame, column: str, out: str) -> DataFrame:
     return (
         detail.where(F.col(column).isNotNull())
-        .select(F.explode(csv_ids(F.col(column))).alias("category_id"))
+        .selectExpr(f"explode({_ids_sql(column)}) AS category_id")
         .groupBy("category_id")
         .agg(F.count(F.lit(1)).alias(out))
     )

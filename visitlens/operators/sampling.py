@@ -16,7 +16,7 @@ DEFAULT_SAMPLE_TOTAL = 100
 
 def _with_day_hour(filtered: DataFrame) -> DataFrame:
     start = F.col("start_time")
-    return filtered.where(start.isNotNull()).withColumn("date", day_of(start)).withColumn("hour", hour_of(start))
+    return filtered.where(start.isNotNull()).select("*", day_of(start).alias("date"), hour_of(start).alias("hour"))
 
 
 def hour_session_counts(filtered: DataFrame) -> DataFrame:
@@ -69,9 +69,12 @@ def random_extract(
     The quota table is joined after the limit; it has one row per (date, hour) and is broadcast
     when ``hour_bound`` proves it small, else left to AQE.
     """
-    ranked = _with_day_hour(filtered).withColumn("sample_key", sample_key(seed))
+    start = F.col("start_time")
     w = Window.partitionBy("date", "hour").orderBy("sample_key", "session_id")
-    ranked = ranked.withColumn("pick", F.row_number().over(w)).where(F.col("pick") <= total)
+    keyed = filtered.where(start.isNotNull()).select(
+        "*", day_of(start).alias("date"), hour_of(start).alias("hour"), sample_key(seed).alias("sample_key")
+    )
+    ranked = keyed.select("*", F.row_number().over(w).alias("pick")).where(F.col("pick") <= total)
     quotas = broadcast_if_bounded(quota.select("date", "hour", "extract_count"), hour_bound)
     picked = ranked.join(quotas, ["date", "hour"], "inner").where(F.col("pick") <= F.col("extract_count"))
     if "search_keywords" not in picked.columns:

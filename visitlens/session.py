@@ -25,6 +25,9 @@ DEFAULT_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # PySpark records the Python call site of every column expression for error messages, at the
+    # price of extra JVM round trips while plans are built; batch jobs do without.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from visitlens.sources.tables import read_table
@@ -21,13 +21,6 @@ SPAN_SECONDS = (5, 11, 90, 300, 1500, 3600)
 BASE_HOUR_MODULUS = 23
 
 
-def _span(user_id: Column) -> Column:
-    expr = F.when(user_id % 6 == 0, F.lit(SPAN_SECONDS[0]))
-    for i, span in enumerate(SPAN_SECONDS[1:-1], start=1):
-        expr = expr.when(user_id % 6 == i, F.lit(span))
-    return expr.otherwise(F.lit(SPAN_SECONDS[-1]))
-
-
 def _iso_day(text: str | None) -> dt.date | None:
     if text is None:
         return None
@@ -54,32 +47,33 @@ def adapter_actions(
         upper = dt.datetime.combine(hi + dt.timedelta(days=1), dt.time())
         ev = ev.where(F.col("ts") < F.lit(upper).cast("timestamp_ntz"))
 
-    ts, uid, eid, etype = F.col("ts"), F.col("user_id"), F.col("event_id"), F.col("event_type")
-    k = F.get_json_object("props", "$.k").try_cast("bigint")
-    day = F.date_format(ts, "yyyy-MM-dd")
-    time_of_day = F.hour(ts) * 3600 + F.minute(ts) * 60 + F.second(ts)
-    shifted = (uid % BASE_HOUR_MODULUS) * 3600 + time_of_day % _span(uid)
-    # ts moved by (shifted - time_of_day) seconds keeps its fraction; formatting drops it.
-    action_ts = F.timestamp_add("SECOND", (shifted - time_of_day).cast("int"), ts)
-    return ev.select(
-        day.alias("date"),
-        uid.alias("user_id"),
-        F.concat(F.lit("u"), uid.cast("string"), F.lit("_"), day).alias("session_id"),
-        (eid % 10).alias("page_id"),
-        F.date_format(action_ts, "yyyy-MM-dd HH:mm:ss").alias("action_time"),
-        F.when(etype == "view", F.concat(F.lit("kw"), (k % 10).cast("string"))).alias("search_keyword"),
-        F.when(etype == "click", k % 20).alias("click_category_id"),
-        F.when(etype == "click", eid % 100).alias("click_product_id"),
-        F.when(etype == "purchase", F.concat((k % 20).cast("string"), F.lit(","), (k * 7 % 20).cast("string"))).alias(
-            "order_category_ids"
-        ),
-        F.when(
-            etype == "purchase", F.concat((k % 100).cast("string"), F.lit(","), (k * 7 % 100).cast("string"))
-        ).alias("order_product_ids"),
-        F.when(etype == "signup", (k * 3 % 20).cast("string")).alias("pay_category_ids"),
-        F.when(etype == "signup", (k * 3 % 100).cast("string")).alias("pay_product_ids"),
-        (uid % 10).alias("city_id"),
-    )
+    return ev.selectExpr(*ACTION_COLUMNS)
+
+
+# The projection as Spark SQL expressions (one call builds the whole select; the plan is the
+# same as with column objects). `k` is the integer under "k" in the JSON props.
+_K = "try_cast(get_json_object(props, '$.k') AS BIGINT)"
+_DAY = "date_format(ts, 'yyyy-MM-dd')"
+_SPAN = "CASE user_id % 6 " + " ".join(f"WHEN {i} THEN {v}" for i, v in enumerate(SPAN_SECONDS[:-1])) + f" ELSE {SPAN_SECONDS[-1]} END"
+_TIME_OF_DAY = "(hour(ts) * 3600 + minute(ts) * 60 + second(ts))"
+# ts moved by (base hour + time of day mod span - time of day) seconds keeps its fraction;
+# formatting drops it.
+_SHIFT = f"CAST((user_id % {BASE_HOUR_MODULUS}) * 3600 + {_TIME_OF_DAY} % ({_SPAN}) - {_TIME_OF_DAY} AS INT)"
+ACTION_COLUMNS = [
+    f"{_DAY} AS date",
+    "user_id",
+    f"concat('u', CAST(user_id AS STRING), '_', {_DAY}) AS session_id",
+    "event_id % 10 AS page_id",
+    f"date_format(timestampadd(SECOND, {_SHIFT}, ts), 'yyyy-MM-dd HH:mm:ss') AS action_time",
+    f"CASE WHEN event_type = 'view' THEN concat('kw', CAST({_K} % 10 AS STRING)) END AS search_keyword",
+    f"CASE WHEN event_type = 'click' THEN {_K} % 20 END AS click_category_id",
+    "CASE WHEN event_type = 'click' THEN event_id % 100 END AS click_product_id",
+    f"CASE WHEN event_type = 'purchase' THEN concat(CAST({_K} % 20 AS STRING), ',', CAST({_K} * 7 % 20 AS STRING)) END AS order_category_ids",
+    f"CASE WHEN event_type = 'purchase' THEN concat(CAST({_K} % 100 AS STRING), ',', CAST({_K} * 7 % 100 AS STRING)) END AS order_product_ids",
+    f"CASE WHEN event_type = 'signup' THEN CAST({_K} * 3 % 20 AS STRING) END AS pay_category_ids",
+    f"CASE WHEN event_type = 'signup' THEN CAST({_K} * 3 % 100 AS STRING) END AS pay_product_ids",
+    "user_id % 10 AS city_id",
+]
 
 
 def adapter_users(spark: SparkSession, data_dir: str) -> DataFrame:
@@ -89,13 +83,13 @@ def adapter_users(spark: SparkSession, data_dir: str) -> DataFrame:
     """
     cust = read_table(spark, data_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
     nation = read_table(spark, data_dir, "nation").select("n_nationkey", "n_name")
-    key = F.col("c_custkey")
-    return cust.join(F.broadcast(nation), cust.c_nationkey == nation.n_nationkey, "inner").select(
-        key.alias("user_id"),
-        F.col("c_name").alias("username"),
-        F.col("c_name").alias("name"),
-        (key * 7 % 60).cast("int").alias("age"),
-        F.col("c_mktsegment").alias("professional"),
-        F.col("n_name").alias("city"),
-        F.when(key % 2 == 0, F.lit("male")).otherwise(F.lit("female")).alias("sex"),
+    joined = cust.join(F.broadcast(nation), cust.c_nationkey == nation.n_nationkey, "inner")
+    return joined.selectExpr(
+        "c_custkey AS user_id",
+        "c_name AS username",
+        "c_name AS name",
+        "CAST(c_custkey * 7 % 60 AS INT) AS age",
+        "c_mktsegment AS professional",
+        "n_name AS city",
+        "CASE WHEN c_custkey % 2 = 0 THEN 'male' ELSE 'female' END AS sex",
     )
