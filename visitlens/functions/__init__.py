@@ -3,6 +3,7 @@
 from visitlens.functions.buckets import STEP_BUCKETS, VISIT_BUCKETS, bucket_label
 from visitlens.functions.columns import (
     csv_ids,
+    csv_ids_sql,
     csv_strings,
     date_hour,
     day_of,
@@ -21,6 +22,7 @@ __all__ = [
     "VISIT_BUCKETS",
     "bucket_label",
     "csv_ids",
+    "csv_ids_sql",
     "csv_strings",
     "date_hour",
     "day_of",

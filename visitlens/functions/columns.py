@@ -42,10 +42,18 @@ def csv_strings(col: Column) -> Column:
     return F.split(col, ",")
 
 
-def csv_ids(col: Column) -> Column:
-    """Comma list of ids -> array<bigint>; bad or empty pieces are dropped; NULL -> []."""
-    parsed = F.transform(F.split(col, ","), lambda x: x.try_cast("bigint"))
-    return F.coalesce(F.array_compact(parsed), F.array().cast("array<bigint>"))
+def csv_ids_sql(column: str) -> str:
+    """SQL of a comma list of ids -> array<bigint>: bad or empty pieces dropped, NULL -> [].
+    (An SQL expression so that callers can embed it in larger SQL expressions.)"""
+    return (
+        f"coalesce(array_compact(transform(split({column}, ','), x -> try_cast(x AS BIGINT))), "
+        "CAST(array() AS ARRAY<BIGINT>))"
+    )
+
+
+def csv_ids(column: str) -> Column:
+    """Comma list of ids in ``column`` -> array<bigint>."""
+    return F.expr(csv_ids_sql(column))
 
 
 def ids_to_csv(col: Column) -> Column:

@@ -6,19 +6,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from visitlens.functions import csv_ids_sql
+
 
 CLICK, ORDER, PAY, SEARCH, PRESENT = 0, 1, 2, 3, 4
 SORT_KEYS = ("click_count", "order_count", "pay_count")
 
 
-def _ids_sql(column: str) -> str:
-    """SQL of a comma list of ids -> array<bigint>: bad or empty pieces dropped, NULL -> []."""
-    return (
-        f"coalesce(array_compact(transform(split({column}, ','), x -> try_cast(x AS BIGINT))), "
-        "CAST(array() AS ARRAY<BIGINT>))"
-    )
-
-
 def _event_sql(ids: str, kind: int, with_keyword: bool) -> str:
     keyword = ", 'keyword', CAST(NULL AS STRING)" if with_keyword else ""
     return f"transform({ids}, x -> named_struct('category_id', x{keyword}, 'kind', {kind}))"
@@ -30,8 +24,8 @@ def _category_events_sql(with_keyword: bool) -> list[str]:
     plan is the same as with column objects."""
     return [
         _event_sql("filter(array(click_category_id), x -> x IS NOT NULL)", CLICK, with_keyword),
-        _event_sql(_ids_sql("order_category_ids"), ORDER, with_keyword),
-        _event_sql(_ids_sql("pay_category_ids"), PAY, with_keyword),
+        _event_sql(csv_ids_sql("order_category_ids"), ORDER, with_keyword),
+        _event_sql(csv_ids_sql("pay_category_ids"), PAY, with_keyword),
     ]
 
 
@@ -124,7 +118,7 @@ def click_category_counts(detail: DataFrame) -> DataFrame:
 def _list_counts(detail: DataFrame, column: str, out: str) -> DataFrame:
     return (
         detail.where(F.col(column).isNotNull())
-        .selectExpr(f"explode({_ids_sql(column)}) AS category_id")
+        .selectExpr(f"explode({csv_ids_sql(column)}) AS category_id")
         .groupBy("category_id")
         .agg(F.count(F.lit(1)).alias(out))
     )
