@@ -93,3 +93,27 @@ def test_date_partitioned_action_table_prunes(spark):
     assert "PartitionFilters: [isnotnull(date" in plan and "2024-01-08" in plan
     expected = adapter_actions(spark, DATA, "2024-01-08", "2024-01-09").where("date <= '2024-01-09'").count()
     assert scanned.count() == expected
+
+
+def test_command_line_runs_a_task_end_to_end(spark):
+    from visitlens.__main__ import main
+    from visitlens.params import TaskParams
+    from visitlens.schemas import TASK
+    from visitlens.sources import adapter_users
+
+    base = tempfile.mkdtemp(prefix="visitlens-cli-")
+    param = TaskParams.from_values({"start_date": "2024-01-01", "end_date": "2024-01-31", "sex": "male"}).to_json()
+    spark.createDataFrame([(7, "t", None, None, None, None, None, param)], TASK).write.parquet(f"{base}/task")
+    adapter_actions(spark, DATA).write.parquet(f"{base}/actions")
+    adapter_users(spark, DATA).write.parquet(f"{base}/users")
+    out = main(
+        ["7", "--tasks-format", "parquet", "--tasks-path", f"{base}/task", "--input-format", "parquet",
+         "--actions-table", f"{base}/actions", "--users-table", f"{base}/users",
+         "--sink-path", f"{base}/out", "--sample-total", "1000", "--materialize", "none"],
+        spark=spark,
+    )
+    assert out["task_id"] == 7 and out["params"]["sex"] == ["male"]
+    stat = spark.read.parquet(f"{base}/out/session_aggr_stat").first()
+    assert stat["task_id"] == 7 and stat["session_count"] > 0
+    for name in ("session_random_extract", "session_detail", "top10_category", "top10_session"):
+        assert spark.read.parquet(f"{base}/out/{name}").count() > 0
