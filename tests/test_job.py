@@ -24,8 +24,21 @@ def test_job_writes_five_results(spark):
         assert written.count() == n
     stat = spark.read.parquet(f"{out}/session_aggr_stat").first()
     assert stat["task_id"] == 9 and stat["session_count"] > 0
-    detail = spark.read.parquet(f"{out}/session_detail")
-    assert detail.columns[:3] == ["task_id", "user_id", "session_id"]
+    from visitlens.schemas import (
+        RANDOM_EXTRACT_COLUMNS,
+        SESSION_DETAIL_COLUMNS,
+        TOP10_CATEGORY_COLUMNS,
+        TOP10_SESSION_COLUMNS,
+    )
+
+    declared = {
+        "session_random_extract": RANDOM_EXTRACT_COLUMNS,
+        "session_detail": SESSION_DETAIL_COLUMNS,
+        "top10_category": TOP10_CATEGORY_COLUMNS,
+        "top10_session": TOP10_SESSION_COLUMNS,
+    }
+    for name, columns in declared.items():
+        assert spark.read.parquet(f"{out}/{name}").columns == columns
 
 
 def test_checkpoint_mode_gives_same_results(spark):

@@ -49,3 +49,10 @@ def test_detail_keeps_every_action_of_selected_sessions(make_actions):
     picked = aggregate_sessions(actions).where("session_id in ('a', 'c')")
     got = sorted(r["session_id"] for r in actions_of_sessions(actions, picked).collect())
     assert got == ["a", "a", "c"]
+
+
+def test_typed_session_row_schema(make_actions):
+    from visitlens.schemas import SESSION
+
+    got = aggregate_sessions(make_actions([action("a", keyword="k", click=1)])).schema
+    assert [(f.name, f.dataType) for f in got] == [(f.name, f.dataType) for f in SESSION]

@@ -18,6 +18,7 @@ from visitlens.params import task_id_from_args
 from visitlens.plans.job import SessionJob, SessionPlans, run
 from visitlens.session import build_session
 from visitlens.sinks import ResultSink
+from visitlens.sources.actions import catalog_actions, catalog_users
 from visitlens.sources.task import load_task_params, read_tasks
 
 
@@ -56,11 +57,14 @@ def main(argv: list[str] | None = None, spark=None) -> dict:
     tasks = read_tasks(spark, args.tasks_format, args.tasks_path, **_options(args.tasks_option))
     params = load_task_params(tasks, task_id)
 
-    def source(name: str):
-        return spark.read.format(args.input_format).load(name) if args.input_format else spark.table(name)
+    if args.input_format:
+        actions = spark.read.format(args.input_format).load(args.actions_table)
+        users = spark.read.format(args.input_format).load(args.users_table)
+    else:
+        actions, users = catalog_actions(spark, args.actions_table), catalog_users(spark, args.users_table)
 
     job = SessionJob(params, task_id=task_id, sample_total=args.sample_total, seed=args.seed)
-    plans = SessionPlans(job, source(args.actions_table), source(args.users_table), materialize_mode=args.materialize)
+    plans = SessionPlans(job, actions, users, materialize_mode=args.materialize)
     sink = ResultSink(fmt=args.sink_format, base=args.sink_path, mode=args.sink_mode, options=_options(args.sink_option))
     run(plans, sink)
     return {"task_id": task_id, "params": json.loads(params.to_json())}

@@ -2,16 +2,12 @@
 
 from visitlens.functions.buckets import STEP_BUCKETS, VISIT_BUCKETS, bucket_label
 from visitlens.functions.columns import (
-    csv_ids,
     csv_ids_sql,
-    csv_strings,
-    date_hour,
     day_of,
     format_time,
     hour_of,
     ids_to_csv,
     int_div,
-    is_blank,
     parse_action_time,
     ratio_half_up,
     strings_to_csv,
@@ -21,16 +17,12 @@ __all__ = [
     "STEP_BUCKETS",
     "VISIT_BUCKETS",
     "bucket_label",
-    "csv_ids",
     "csv_ids_sql",
-    "csv_strings",
-    "date_hour",
     "day_of",
     "format_time",
     "hour_of",
     "ids_to_csv",
     "int_div",
-    "is_blank",
     "parse_action_time",
     "ratio_half_up",
     "strings_to_csv",

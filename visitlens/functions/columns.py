@@ -8,10 +8,6 @@ from pyspark.sql import functions as F
 TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
 
 
-def is_blank(col: Column) -> Column:
-    """NULL or the empty string."""
-    return col.isNull() | (col == "")
-
 
 def parse_action_time(col: Column) -> Column:
     """Wall-clock parse of ``yyyy-MM-dd H:mm:ss`` (hour padded or not); NULL on bad text.
@@ -33,13 +29,6 @@ def hour_of(col: Column) -> Column:
     return F.date_format(col, "HH")
 
 
-def date_hour(col: Column) -> Column:
-    return F.date_format(col, "yyyy-MM-dd_HH")
-
-
-def csv_strings(col: Column) -> Column:
-    """Comma list -> array<string>; NULL stays NULL."""
-    return F.split(col, ",")
 
 
 def csv_ids_sql(column: str) -> str:
@@ -51,10 +40,6 @@ def csv_ids_sql(column: str) -> str:
     )
 
 
-def csv_ids(column: str) -> Column:
-    """Comma list of ids in ``column`` -> array<bigint>."""
-    return F.expr(csv_ids_sql(column))
-
 
 def ids_to_csv(col: Column) -> Column:
     """array<bigint> (already sorted) -> '1,2,3'; empty array -> ''."""

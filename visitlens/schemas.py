@@ -67,8 +67,8 @@ SESSION = T.StructType(
     [
         T.StructField("session_id", T.StringType()),
         T.StructField("user_id", T.LongType()),
-        T.StructField("search_keywords", T.ArrayType(T.StringType())),
-        T.StructField("click_category_ids", T.ArrayType(T.LongType())),
+        T.StructField("search_keywords", T.ArrayType(T.StringType(), containsNull=False)),
+        T.StructField("click_category_ids", T.ArrayType(T.LongType(), containsNull=False)),
         T.StructField("visit_length", T.LongType()),
         T.StructField("step_length", T.LongType()),
         T.StructField("start_time", T.TimestampNTZType()),

@@ -43,9 +43,3 @@ def read_table(spark: SparkSession, data_dir: str, name: str) -> DataFrame:
     if name in TABLE_SCHEMAS:
         reader = reader.schema(TABLE_SCHEMAS[name])
     return reader.parquet(table_path(data_dir, name))
-
-
-def register_views(spark: SparkSession, data_dir: str, names=TABLE_NAMES) -> None:
-    """Register every table as a temp view of the same name (for ``spark.sql``)."""
-    for name in names:
-        read_table(spark, data_dir, name).createOrReplaceTempView(name)
