@@ -130,3 +130,15 @@ def test_command_line_runs_a_task_end_to_end(spark):
     assert stat["task_id"] == 7 and stat["session_count"] > 0
     for name in ("session_random_extract", "session_detail", "top10_category", "top10_session"):
         assert spark.read.parquet(f"{base}/out/{name}").count() > 0
+
+
+def test_idempotent_sink_replaces_a_rerun_task(spark):
+    out = tempfile.mkdtemp(prefix="visitlens-idem-")
+    sink = ResultSink(fmt="parquet", base=out, idempotent=True)
+    for task_id in (1, 2, 1):  # task 1 runs twice (a retry)
+        job = SessionJob(Q.PARAMS["main"], task_id=task_id, sample_total=1000)
+        run(SessionPlans.from_test_tables(spark, DATA, job), sink)
+    stat = spark.read.parquet(f"{out}/session_aggr_stat")
+    assert sorted(r["task_id"] for r in stat.collect()) == [1, 2]
+    top = spark.read.parquet(f"{out}/top10_category")
+    assert top.where("task_id = 1").count() == top.where("task_id = 2").count() == 10

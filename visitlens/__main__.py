@@ -43,6 +43,7 @@ def parse_args(argv: list[str]) -> argparse.Namespace:
     p.add_argument("--sink-path")
     p.add_argument("--sink-mode", default="append")
     p.add_argument("--sink-option", action="append", default=[])
+    p.add_argument("--idempotent", action="store_true", help="file sinks: replace this task's partitions on re-run")
     p.add_argument("--sample-total", type=int, default=100)
     p.add_argument("--seed", default="42")
     p.add_argument("--materialize", default="persist", choices=["persist", "checkpoint", "none"])
@@ -65,7 +66,10 @@ def main(argv: list[str] | None = None, spark=None) -> dict:
 
     job = SessionJob(params, task_id=task_id, sample_total=args.sample_total, seed=args.seed)
     plans = SessionPlans(job, actions, users, materialize_mode=args.materialize)
-    sink = ResultSink(fmt=args.sink_format, base=args.sink_path, mode=args.sink_mode, options=_options(args.sink_option))
+    sink = ResultSink(
+        fmt=args.sink_format, base=args.sink_path, mode=args.sink_mode, options=_options(args.sink_option),
+        idempotent=args.idempotent,
+    )
     run(plans, sink)
     return {"task_id": task_id, "params": json.loads(params.to_json())}
 

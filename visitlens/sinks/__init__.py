@@ -23,11 +23,23 @@ class ResultSink:
     mode: str = "append"
     options: dict[str, str] = field(default_factory=dict)
     partition_by: dict[str, list[str]] = field(default_factory=dict)
+    idempotent: bool = False
 
     def write(self, df: DataFrame, name: str) -> None:
-        writer = df.write.format(self.fmt).mode(self.mode).options(**self.options)
-        if name in self.partition_by:
-            writer = writer.partitionBy(*self.partition_by[name])
+        """Write one result table.
+
+        ``idempotent=True`` (file formats): every result is partitioned by ``task_id`` and
+        written with dynamic partition overwrite, so re-running a task after a failure replaces
+        exactly that task's partitions instead of appending a second copy.
+        """
+        mode, partition_cols = self.mode, self.partition_by.get(name)
+        options = dict(self.options)
+        if self.idempotent and self.fmt != "jdbc":
+            mode, partition_cols = "overwrite", ["task_id"]
+            options["partitionOverwriteMode"] = "dynamic"
+        writer = df.write.format(self.fmt).mode(mode).options(**options)
+        if partition_cols:
+            writer = writer.partitionBy(*partition_cols)
         if self.fmt == "jdbc":
             writer.option("dbtable", name).save()
         else:
