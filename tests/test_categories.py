@@ -56,9 +56,9 @@ def test_composite_descending_sort(spark):
     assert got == ["3", "4", "1"]
 
 
-def test_activity_lists_match_session_lists(make_actions):
-    from visitlens.operators.categories import session_activity, session_lists_from_activity
-    from visitlens.operators.sessions import aggregate_sessions
+
+def test_lists_of_picked_sessions_match_session_lists(make_actions):
+    from visitlens.operators.sessions import aggregate_sessions, session_sets
 
     actions = make_actions(
         [
@@ -66,13 +66,12 @@ def test_activity_lists_match_session_lists(make_actions):
             action("a", keyword="kw1", orders="7,8"),
             action("a", keyword="", click=5),
             action("b", pays="3"),  # no click, no keyword: empty lists
-            action("c"),  # no activity at all: a presence row
+            action("c", orders="x"),  # only an unparsable id
         ]
     )
-    activity = session_activity(actions)
-    assert activity.where("session_id = 'c'").count() == 1
-    got = {r["session_id"]: (r["search_keywords"], r["click_category_ids"])
-           for r in session_lists_from_activity(activity, aggregate_sessions(actions), 10).collect()}
-    want = {r["session_id"]: (r["search_keywords"], r["click_category_ids"]) for r in aggregate_sessions(actions).collect()}
+    full = aggregate_sessions(actions)
+    got = {r["session_id"]: (r["search_keywords"], r["click_category_ids"], r["step_length"])
+           for r in session_sets(actions, full, 10, carry=("step_length",)).collect()}
+    want = {r["session_id"]: (r["search_keywords"], r["click_category_ids"], r["step_length"]) for r in full.collect()}
     assert got == want
-    assert got["c"] == ([], [])
+    assert got["c"] == ([], [], 1)

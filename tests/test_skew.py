@@ -61,13 +61,15 @@ def expected_hot_clicks():
     return expected
 
 
-def test_hot_session_collapses_before_the_join(skew_session):
+def test_hot_session_job_path_is_exact(skew_session):
     actions, users = skewed_inputs(skew_session)
     plans = SessionPlans(SessionJob(TaskParams(), task_id=1), actions, users)
-    hot_activity = plans.session_activity.where("session_id = 'hot'")
-    assert hot_activity.count() == 20  # one row per category, whatever the session's size
-    got = {r["category_id"]: r["click_count"] for r in plans.session_category_clicks.where("session_id = 'hot'").collect()}
+    clicks = plans.session_category_clicks
+    got = {r["category_id"]: r["click_count"] for r in clicks.where("session_id = 'hot'").collect()}
     assert got == expected_hot_clicks()
+    clicks.collect()  # executes the adaptive plan of `clicks`
+    final = clicks._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert "SortMergeJoin(skew=true)" in final
     assert plans.top10_session.where("session_id = 'hot'").count() == 10  # it leads every top category
 
 

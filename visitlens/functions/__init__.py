@@ -2,7 +2,6 @@
 
 from visitlens.functions.buckets import STEP_BUCKETS, VISIT_BUCKETS, bucket_label
 from visitlens.functions.columns import (
-    csv_ids_sql,
     day_of,
     format_time,
     hour_of,
@@ -17,7 +16,6 @@ __all__ = [
     "STEP_BUCKETS",
     "VISIT_BUCKETS",
     "bucket_label",
-    "csv_ids_sql",
     "day_of",
     "format_time",
     "hour_of",

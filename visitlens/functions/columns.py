@@ -31,15 +31,6 @@ def hour_of(col: Column) -> Column:
 
 
 
-def csv_ids_sql(column: str) -> str:
-    """SQL of a comma list of ids -> array<bigint>: bad or empty pieces dropped, NULL -> [].
-    (An SQL expression so that callers can embed it in larger SQL expressions.)"""
-    return (
-        f"coalesce(array_compact(transform(split({column}, ','), x -> try_cast(x AS BIGINT))), "
-        "CAST(array() AS ARRAY<BIGINT>))"
-    )
-
-
 
 def ids_to_csv(col: Column) -> Column:
     """array<bigint> (already sorted) -> '1,2,3'; empty array -> ''."""

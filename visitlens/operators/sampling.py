@@ -7,8 +7,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from visitlens.functions import day_of, format_time, hour_of, ids_to_csv, int_div, strings_to_csv
-from visitlens.operators.categories import session_lists_from_activity
-from visitlens.operators.sessions import actions_of_sessions, detail_rows
+from visitlens.operators.sessions import actions_of_sessions, detail_rows, session_sets
 from visitlens.plans.physical import broadcast_if_bounded
 
 DEFAULT_SAMPLE_TOTAL = 100
@@ -55,13 +54,13 @@ def random_extract(
     seed: int | str = 42,
     total: int = DEFAULT_SAMPLE_TOTAL,
     hour_bound: int | None = None,
-    activity: DataFrame | None = None,
+    actions: DataFrame | None = None,
 ) -> DataFrame:
     """K4: in every (date, hour), the ``extract_count`` sessions with the smallest sample key.
 
     When ``filtered`` holds session facts without keyword / category lists (the job's path), the
-    lists of the picked sessions (at most ``total``) are read from their per-session ``activity``
-    rows (``categories.session_activity``) through a broadcast of the picked ids.
+    lists of the picked sessions (at most ``total``) are built from their ``actions`` through a
+    broadcast of the picked sessions (no shuffle of the actions).
 
     ``extract_count <= per_day <= total``, so ``row_number <= total`` (a literal) is implied.
     Stating it lets Spark run a partial WindowGroupLimit on the map side: a huge hour sends at
@@ -78,9 +77,9 @@ def random_extract(
     quotas = broadcast_if_bounded(quota.select("date", "hour", "extract_count"), hour_bound)
     picked = ranked.join(quotas, ["date", "hour"], "inner").where(F.col("pick") <= F.col("extract_count"))
     if "search_keywords" not in picked.columns:
-        if activity is None:
-            raise ValueError("session facts need their activity rows to list keywords and categories")
-        picked = session_lists_from_activity(activity, picked, total, carry=("start_time",))
+        if actions is None:
+            raise ValueError("session facts need the actions to list keywords and categories")
+        picked = session_sets(actions, picked, total, carry=("start_time",))
     return picked.select(
         F.lit(task_id).cast("bigint").alias("task_id"),
         "session_id",

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from visitlens.functions import format_time, ids_to_csv, parse_action_time, strings_to_csv
+from visitlens.plans.physical import broadcast_if_bounded
 from visitlens.schemas import SESSION_DETAIL_COLUMNS
 
 
@@ -80,6 +81,18 @@ def aggregate_session_facts(
     return grouped.select("session_id", "user_id", _visit_length(), "step_length", "start_time", *flags)
 
 
+def session_sets(
+    actions: DataFrame, sessions: DataFrame, row_bound: int | None, carry: tuple[str, ...] = ()
+) -> DataFrame:
+    """Sorted keyword and category lists of the given sessions, from their actions, with the
+    sessions' ``carry`` columns kept. ``sessions`` is read once: it is broadcast (when
+    ``row_bound`` proves it small) and inner-joined to the actions, which are not shuffled; every
+    session has at least one action, so none is lost."""
+    picked = broadcast_if_bounded(sessions.select("session_id", *carry), row_bound)
+    rows = _session_inputs(actions).join(picked, "session_id", "inner")
+    return rows.groupBy("session_id", *carry).agg(*_set_aggregates())
+
+
 def enrich_sessions(sessions: DataFrame, users: DataFrame) -> DataFrame:
     """Inner join of sessions to users on user_id: sessions without a user disappear.
 

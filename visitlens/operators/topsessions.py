@@ -19,10 +19,6 @@ def session_category_clicks(detail: DataFrame) -> DataFrame:
     )
 
 
-def clicks_from_activity(activity: DataFrame) -> DataFrame:
-    """A9 from per-session activity: the (session, category) pairs with at least one click."""
-    return activity.where(F.col("click_count") > 0).select("session_id", "category_id", "click_count")
-
 
 def top_sessions(clicks: DataFrame, top_categories: DataFrame, task_id: int, n: int = 10, n_categories: int = 10) -> DataFrame:
     """K2: for each top category the n sessions with most clicks on it (session id breaks ties).

@@ -92,20 +92,15 @@ class SessionPlans:
 
     @cached_property
     def detail_actions(self) -> DataFrame:
-        """Actions of the filtered sessions (J2). The reports below do not need these raw rows."""
-        return sessions.actions_of_sessions(self.actions, self.filtered)
-
-    @cached_property
-    def session_activity(self) -> DataFrame:
-        """Per-session activity of the filtered sessions (category counts, keyword rows): the
-        narrow input of both category reports and of the sample's lists, materialised when the job
-        runs."""
-        activity = categories.session_activity(self.actions)
-        return self._keep(activity.join(self.filtered.select("session_id"), "session_id", "left_semi"))
+        """Actions of the filtered sessions (J2), pruned to the columns the category reports
+        read; read by both of them, so materialised when the job runs. A session holding a large
+        share of all actions is split across tasks by AQE's skew join handling."""
+        rows = sessions.actions_of_sessions(self.actions, self.filtered)
+        return self._keep(rows.select("session_id", "click_category_id", "order_category_ids", "pay_category_ids"))
 
     @cached_property
     def session_detail(self) -> DataFrame:
-        return sessions.detail_rows(self.detail_actions, self.job.task_id)
+        return sessions.detail_rows(sessions.actions_of_sessions(self.actions, self.filtered), self.job.task_id)
 
     @cached_property
     def stat_counts(self) -> DataFrame:
@@ -127,7 +122,7 @@ class SessionPlans:
     def random_extract(self) -> DataFrame:
         j = self.job
         return sampling.random_extract(
-            self.filtered, self.quota, j.task_id, j.seed, j.sample_total, j.hour_bound(), activity=self.session_activity
+            self.filtered, self.quota, j.task_id, j.seed, j.sample_total, j.hour_bound(), actions=self.actions
         )
 
     @cached_property
@@ -137,7 +132,7 @@ class SessionPlans:
 
     @cached_property
     def category_counts(self) -> DataFrame:
-        return categories.category_counts_from_activity(self.session_activity)
+        return categories.category_counts(self.detail_actions)
 
     @cached_property
     def top10_category(self) -> DataFrame:
@@ -145,7 +140,7 @@ class SessionPlans:
 
     @cached_property
     def session_category_clicks(self) -> DataFrame:
-        return topsessions.clicks_from_activity(self.session_activity)
+        return topsessions.session_category_clicks(self.detail_actions)
 
     @cached_property
     def top10_session(self) -> DataFrame:

@@ -145,7 +145,8 @@ def category_counts(spark, data_dir):
 
 
 def category_counts_detail(spark, data_dir):
-    """A7 in one pass over the filtered sessions' raw actions (the job uses per-session activity)."""
+    """A7 over the filtered sessions' actions, built directly from the operator (same result as the
+    job's ``category_counts``; kept as the operator-level check)."""
     return categories.category_counts(plans(spark, data_dir, "main").detail_actions)
 
 
