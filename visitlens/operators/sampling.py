@@ -47,21 +47,15 @@ def sample_key(seed: int | str) -> F.Column:
     return F.md5(F.concat(F.col("session_id"), F.lit(f":{seed}")))
 
 
-def random_extract(
+def sample_sessions(
     filtered: DataFrame,
     quota: DataFrame,
-    task_id: int,
     seed: int | str = 42,
     total: int = DEFAULT_SAMPLE_TOTAL,
     hour_bound: int | None = None,
-    actions: DataFrame | None = None,
 ) -> DataFrame:
     """K4: in every (date, hour), the ``extract_count`` sessions with the smallest sample key.
 
-    When ``filtered`` holds session facts without keyword / category lists (the job's path), the
-    lists of the picked sessions (at most ``total``) are built from their ``actions`` through a
-    broadcast of the picked sessions (no shuffle of the actions).
-
     ``extract_count <= per_day <= total``, so ``row_number <= total`` (a literal) is implied.
     Stating it lets Spark run a partial WindowGroupLimit on the map side: a huge hour sends at
     most ``total`` rows per map task through the shuffle, and the final window sorts only those.
@@ -75,7 +69,26 @@ def random_extract(
     )
     ranked = keyed.select("*", F.row_number().over(w).alias("pick")).where(F.col("pick") <= total)
     quotas = broadcast_if_bounded(quota.select("date", "hour", "extract_count"), hour_bound)
-    picked = ranked.join(quotas, ["date", "hour"], "inner").where(F.col("pick") <= F.col("extract_count"))
+    return ranked.join(quotas, ["date", "hour"], "inner").where(F.col("pick") <= F.col("extract_count"))
+
+
+def random_extract(
+    filtered: DataFrame,
+    quota: DataFrame,
+    task_id: int,
+    seed: int | str = 42,
+    total: int = DEFAULT_SAMPLE_TOTAL,
+    hour_bound: int | None = None,
+    actions: DataFrame | None = None,
+    sampled: DataFrame | None = None,
+) -> DataFrame:
+    """The ``session_random_extract`` rows of the sample (``sampled``, or drawn here).
+
+    When the sessions are facts without keyword / category lists (the job's path), the lists of
+    the sampled sessions (at most ``total``) are built from their ``actions`` through a broadcast
+    of the sample (no shuffle of the actions).
+    """
+    picked = sampled if sampled is not None else sample_sessions(filtered, quota, seed, total, hour_bound)
     if "search_keywords" not in picked.columns:
         if actions is None:
             raise ValueError("session facts need the actions to list keywords and categories")

@@ -118,17 +118,23 @@ class SessionPlans:
     def quota(self) -> DataFrame:
         return sampling.extract_quota(self.hour_counts, self.job.sample_total)
 
+    @cached_property
+    def sampled(self) -> DataFrame:
+        """The sampled filtered sessions (at most sample_total rows)."""
+        j = self.job
+        return sampling.sample_sessions(self.filtered, self.quota, j.seed, j.sample_total, j.hour_bound())
+
     @cached_property
     def random_extract(self) -> DataFrame:
         j = self.job
         return sampling.random_extract(
-            self.filtered, self.quota, j.task_id, j.seed, j.sample_total, j.hour_bound(), actions=self.actions
+            self.filtered, self.quota, j.task_id, j.seed, j.sample_total, actions=self.actions, sampled=self.sampled
         )
 
     @cached_property
     def random_extract_detail(self) -> DataFrame:
         j = self.job
-        return sampling.random_extract_detail(self.actions, self.random_extract, j.task_id, j.sample_total)
+        return sampling.random_extract_detail(self.actions, self.sampled, j.task_id, j.sample_total)
 
     @cached_property
     def category_counts(self) -> DataFrame:
@@ -163,7 +169,7 @@ class SessionPlans:
         the broadcast multiset of those ids (at most sample_total + categories x n rows). Equal to
         the union of ``random_extract_detail`` and ``top10_session_detail``."""
         j = self.job
-        ids = self.random_extract.select("session_id").unionByName(self.top10_session.select("session_id"))
+        ids = self.sampled.select("session_id").unionByName(self.top10_session.select("session_id"))
         bound = j.sample_total + j.top_categories * j.top_sessions
         rows = self.actions.join(broadcast_if_bounded(ids, bound), "session_id", "inner")
         return sessions.detail_rows(rows, j.task_id)
