@@ -50,3 +50,14 @@ def test_word_count_reads_one_column(spark):
 def test_aggregations_are_partial(plans):
     for name in ("session_aggregate", "category_counts", "word_count", "session_category_clicks"):
         assert "partial_" in plans[name], name
+
+
+def test_results_do_not_depend_on_the_session_time_zone(spark):
+    names = ["action_scan", "session_aggregate", "random_extract", "hour_session_counts"]
+    before = {n: sorted(tuple(map(str, r)) for r in E.queries()[n](spark, DATA).collect()) for n in names}
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        after = {n: sorted(tuple(map(str, r)) for r in E.queries()[n](spark, DATA).collect()) for n in names}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert before == after

@@ -41,11 +41,12 @@ def adapter_actions(
     """
     ev = read_table(spark, data_dir, "events").select("event_id", "ts", "user_id", "event_type", "props")
     lo, hi = _iso_day(start_date), _iso_day(end_date)
+    # Bounds are wall-clock text cast to timestamp_ntz: no time zone is involved anywhere.
     if lo is not None:
-        ev = ev.where(F.col("ts") >= F.lit(dt.datetime.combine(lo, dt.time())).cast("timestamp_ntz"))
+        ev = ev.where(F.col("ts") >= F.lit(f"{lo.isoformat()} 00:00:00").cast("timestamp_ntz"))
     if hi is not None:
-        upper = dt.datetime.combine(hi + dt.timedelta(days=1), dt.time())
-        ev = ev.where(F.col("ts") < F.lit(upper).cast("timestamp_ntz"))
+        upper = hi + dt.timedelta(days=1)
+        ev = ev.where(F.col("ts") < F.lit(f"{upper.isoformat()} 00:00:00").cast("timestamp_ntz"))
 
     return ev.selectExpr(*ACTION_COLUMNS)
 
