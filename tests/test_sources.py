@@ -43,10 +43,10 @@ def test_task_lookup_and_columnar_params(spark):
 def test_text_and_tsv_sources(spark):
     folder = tempfile.mkdtemp(prefix="visitlens-test-")
     with open(f"{folder}/data.tsv", "w") as f:
-        f.write("1\tCaoA\t1990\n2\tCaoB\tnull\n")
+        f.write("1\tAnn\t1990\n2\tBob\tnull\n")
     rows = read_tsv(spark, f"{folder}/data.tsv").collect()
-    assert [(r["id"], r["name"], r["year"]) for r in rows] == [(1, "CaoA", 1990), (2, "CaoB", None)]
-    assert [r["line"] for r in read_text_lines(spark, f"{folder}/data.tsv").collect()][1] == "2\tCaoB\tnull"
+    assert [(r["id"], r["name"], r["year"]) for r in rows] == [(1, "Ann", 1990), (2, "Bob", None)]
+    assert [r["line"] for r in read_text_lines(spark, f"{folder}/data.tsv").collect()][1] == "2\tBob\tnull"
 
 
 def test_inline_table_view_and_sql(spark):

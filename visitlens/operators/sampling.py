@@ -10,6 +10,7 @@ from visitlens.functions import day_of, format_time, hour_of, ids_to_csv, int_di
 from visitlens.operators.sessions import actions_of_sessions, detail_rows, session_sets
 from visitlens.plans.physical import broadcast_if_bounded
 
+# Fixed value: sessions sampled per task (spread over the task's days).
 DEFAULT_SAMPLE_TOTAL = 100
 
 

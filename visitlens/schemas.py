@@ -75,7 +75,7 @@ SESSION = T.StructType(
     ]
 )
 
-# Result tables: column names in output order.
+# Result table column names, in output order.
 SESSION_DETAIL_COLUMNS = [
     "task_id",
     "user_id",

@@ -1,4 +1,4 @@
-"""Adapter views that present the driver's synthetic tables in the reference's input shapes.
+"""Adapter views that present the driver's synthetic tables in the original job's input shapes.
 
 ``user_visit_action`` is derived from ``events`` (one session per user and day, a base hour per
 user and a span per user so that every duration bucket is populated); ``user_info`` from

@@ -1,4 +1,4 @@
-"""Seeded synthetic inputs in the reference's shapes (S15), generated by Spark at any size.
+"""Seeded synthetic inputs in the original job's input shapes (S15), generated by Spark at any size.
 
 Randomness is a hash of (seed, purpose, row coordinates), so the output does not depend on the
 partitioning and is the same on every run with the same seed.
