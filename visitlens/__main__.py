@@ -16,7 +16,7 @@ import sys
 
 from visitlens.params import task_id_from_args
 from visitlens.plans.job import SessionJob, SessionPlans, run
-from visitlens.session import build_session
+from visitlens.session import build_session, scale_conf
 from visitlens.sinks import ResultSink
 from visitlens.sources.actions import catalog_actions, catalog_users
 from visitlens.sources.task import load_task_params, read_tasks
@@ -48,13 +48,14 @@ def parse_args(argv: list[str]) -> argparse.Namespace:
     p.add_argument("--seed", default="42")
     p.add_argument("--materialize", default="persist", choices=["persist", "checkpoint", "none"])
     p.add_argument("--hive", action="store_true")
+    p.add_argument("--input-bytes", type=int, help="size of the action data: sizes scan splits and shuffle partitions")
     return p.parse_args(argv)
 
 
 def main(argv: list[str] | None = None, spark=None) -> dict:
     args = parse_args(sys.argv[1:] if argv is None else argv)
     task_id = task_id_from_args([args.task_id] if args.task_id else [])
-    spark = spark or build_session(hive=args.hive)
+    spark = spark or build_session(hive=args.hive, conf=scale_conf(args.input_bytes) if args.input_bytes else None)
     tasks = read_tasks(spark, args.tasks_format, args.tasks_path, **_options(args.tasks_option))
     params = load_task_params(tasks, task_id)
 
