@@ -26,6 +26,12 @@ def test_no_python_udf_cross_join_or_driver_collect(plans):
             assert bad not in plan, (name, bad)
 
 
+def test_no_interpreted_lambdas(plans):
+    # higher-order functions (transform/filter lambdas) are evaluated row by row outside codegen
+    for name, plan in plans.items():
+        assert "lambdafunction" not in plan, name
+
+
 @pytest.mark.parametrize("name", ["top10_session", "random_extract"])
 def test_grouped_top_n_is_limited_before_the_shuffle(plans, name):
     plan = plans[name]

@@ -34,7 +34,7 @@ def hour_of(col: Column) -> Column:
 
 def ids_to_csv(col: Column) -> Column:
     """array<bigint> (already sorted) -> '1,2,3'; empty array -> ''."""
-    return F.array_join(F.transform(col, lambda x: x.cast("string")), ",")
+    return F.array_join(col.cast("array<string>"), ",")
 
 
 def strings_to_csv(col: Column) -> Column:

@@ -48,8 +48,7 @@ def sex_equals(params: TaskParams) -> Column | None:
 def _any_listed(array_col: Column, values: tuple[str, ...]) -> Column:
     """True when any element of the session's list equals any listed value (text comparison)."""
     wanted = F.array(*[F.lit(v) for v in values])
-    as_text = F.transform(array_col, lambda x: x.cast("string"))
-    return F.arrays_overlap(as_text, wanted)
+    return F.arrays_overlap(array_col.cast("array<string>"), wanted)
 
 
 def keywords_any(params: TaskParams) -> Column | None:

@@ -43,11 +43,10 @@ def label_counts(filtered: DataFrame) -> DataFrame:
 
     Each session contributes ``session_count``, its duration bucket and its step bucket label.
     """
-    labels = F.array_compact(
-        F.array(
-            F.lit(SESSION_COUNT),
-            bucket_label(F.col("visit_length"), VISIT_BUCKETS, "visit_length_"),
-            bucket_label(F.col("step_length"), STEP_BUCKETS, "step_length_"),
-        )
+    labels = F.array(
+        F.lit(SESSION_COUNT),
+        bucket_label(F.col("visit_length"), VISIT_BUCKETS, "visit_length_"),
+        bucket_label(F.col("step_length"), STEP_BUCKETS, "step_length_"),
     )
-    return filtered.select(F.explode(labels).alias("label")).groupBy("label").agg(F.count(F.lit(1)).alias("count"))
+    exploded = filtered.select(F.explode(labels).alias("label")).where(F.col("label").isNotNull())
+    return exploded.groupBy("label").agg(F.count(F.lit(1)).alias("count"))
