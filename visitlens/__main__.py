@@ -1,9 +1,10 @@
-"""Command line of the session job: ``python -m visitlens <task_id> [options]``.
+"""Command line of the session job: ``python -m visitlens <task_id> [options]`` (or this file
+through ``spark-submit``).
 
 Reads the task's parameters from the task table (any Spark source), runs the job over the action
 and user tables and appends the five results to the sink. Example::
 
-    spark-submit -m visitlens 7 --tasks-format jdbc --tasks-option url=jdbc:mysql://db/app \\
+    spark-submit --py-files visitlens.zip visitlens/__main__.py 7 --tasks-format jdbc --tasks-option url=jdbc:mysql://db/app \\
         --tasks-option dbtable=task --actions-table user_visit_action --users-table user_info \\
         --sink-format parquet --sink-path hdfs:///results --materialize checkpoint
 """
