@@ -67,3 +67,44 @@ def test_results_do_not_depend_on_the_session_time_zone(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     assert before == after
+
+
+def _children(node):
+    seq = node.children()
+    return [seq.apply(i) for i in range(seq.size())]
+
+
+def _subtree_names(node):
+    names = [node.nodeName()]
+    for child in _children(node):
+        names += _subtree_names(child)
+    return names
+
+
+def _top_broadcast_join(node):
+    if node.nodeName() == "BroadcastHashJoin":
+        return node
+    for child in _children(node):
+        found = _top_broadcast_join(child)
+        if found is not None:
+            return found
+    return None
+
+
+@pytest.mark.parametrize("which", ["session_detail_output", "top10_session_detail", "random_extract_detail"])
+def test_detail_outputs_do_not_shuffle_actions(spark, which):
+    from visitlens.plans.job import SessionJob, SessionPlans
+    from visitlens.plans import queries as Q
+
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plans = SessionPlans.from_test_tables(spark, DATA, SessionJob(Q.PARAMS["main"], task_id=1, sample_total=1000))
+        root = getattr(plans, which)._jdf.queryExecution().executedPlan()
+        join = _top_broadcast_join(root)
+        assert join is not None
+        streamed = _children(join)[0] if join.buildSide().toString() == "BuildRight" else _children(join)[1]
+        names = _subtree_names(streamed)
+        assert "FileSourceScanExec" in names or any("Scan" in n for n in names)
+        assert "ShuffleExchangeExec" not in names and "Exchange" not in names, names
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
