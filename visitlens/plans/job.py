@@ -120,9 +120,10 @@ class SessionPlans:
 
     @cached_property
     def sampled(self) -> DataFrame:
-        """The sampled filtered sessions (at most sample_total rows)."""
+        """The sampled filtered sessions (at most sample_total rows), read by the sample output and
+        by both detail outputs: materialised (it is small by construction)."""
         j = self.job
-        return sampling.sample_sessions(self.filtered, self.quota, j.seed, j.sample_total, j.hour_bound())
+        return self._keep(sampling.sample_sessions(self.filtered, self.quota, j.seed, j.sample_total, j.hour_bound()))
 
     @cached_property
     def random_extract(self) -> DataFrame:
@@ -142,7 +143,8 @@ class SessionPlans:
 
     @cached_property
     def top10_category(self) -> DataFrame:
-        return categories.top_categories(self.category_counts, self.job.task_id, self.job.top_categories)
+        """At most 10 rows, read by its output and by the top sessions: materialised."""
+        return self._keep(categories.top_categories(self.category_counts, self.job.task_id, self.job.top_categories))
 
     @cached_property
     def session_category_clicks(self) -> DataFrame:
@@ -150,9 +152,12 @@ class SessionPlans:
 
     @cached_property
     def top10_session(self) -> DataFrame:
+        """At most categories x n rows, read by its output and by the detail: materialised."""
         j = self.job
-        return topsessions.top_sessions(
-            self.session_category_clicks, self.top10_category, j.task_id, j.top_sessions, j.top_categories
+        return self._keep(
+            topsessions.top_sessions(
+                self.session_category_clicks, self.top10_category, j.task_id, j.top_sessions, j.top_categories
+            )
         )
 
     @cached_property
