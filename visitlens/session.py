@@ -78,17 +78,20 @@ def scale_conf(input_bytes: int, partition_bytes: int = 256 << 20, max_partition
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
+    """Return the checkpoint folder of the session, registering one if needed.
 
-    A cluster names a shared (HDFS/object store) folder there and it is used as is. Only when the
-    setting is absent, as in local tests, a fresh local folder is created and registered.
+    On a cluster ``spark.checkpoint.dir`` names a shared (HDFS/object store) folder; Spark
+    registers it when the context starts, and it is used as is. Only when nothing is configured,
+    as in local tests, a fresh local folder is created and registered on the context (the setting
+    itself cannot be changed at runtime).
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    sc = spark.sparkContext
+    current = sc.getCheckpointDir()
+    if current:
+        return current
+    configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
-        if not spark.sparkContext.getCheckpointDir():
-            spark.sparkContext.setCheckpointDir(configured)
-        return configured
-    local = tempfile.mkdtemp(prefix="visitlens-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    spark.sparkContext.setCheckpointDir(local)
-    spark.conf.set("spark.checkpoint.dir", local)
-    return local
+        sc.setCheckpointDir(configured)
+    else:
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="visitlens-ckpt-", dir=os.environ.get("TMPDIR", "/tmp")))
+    return sc.getCheckpointDir()
