@@ -66,8 +66,13 @@ def main() -> None:
             Q.QUERIES[name](spark, data_dir).write.format("noop").mode("overwrite").save()
 
     names = HEADLINE + ["full_job"]
+    errors = {}
     for name in names:  # warm-up: JIT, file listing, codegen caches
-        run_query(name)
+        try:
+            run_query(name)
+        except Exception as exc:  # a failing query is reported, not allowed to hide the others
+            errors[name] = f"{type(exc).__name__}: {str(exc)[:300]}"
+    names = [n for n in names if n not in errors]
     repeats = int(os.environ.get("BENCH_REPEATS", "3"))
     samples = {name: [] for name in names}
     for _ in range(repeats):
@@ -87,6 +92,7 @@ def main() -> None:
                 "sf": float(match.group(1)) if match else None,
                 "cpus": cpus,
                 "repeats": repeats,
+                "errors": errors,
             }
         )
     )
