@@ -142,3 +142,24 @@ def test_idempotent_sink_replaces_a_rerun_task(spark):
     assert sorted(r["task_id"] for r in stat.collect()) == [1, 2]
     top = spark.read.parquet(f"{out}/top10_category")
     assert top.where("task_id = 1").count() == top.where("task_id = 2").count() == 10
+
+
+def test_command_line_checkpoint_and_idempotent_rerun(spark):
+    from visitlens.__main__ import main
+    from visitlens.params import TaskParams
+    from visitlens.schemas import TASK
+    from visitlens.sources import adapter_users
+
+    base = tempfile.mkdtemp(prefix="visitlens-cli2-")
+    param = TaskParams.from_values({"start_date": "2024-01-01", "end_date": "2024-01-31"}).to_json()
+    spark.createDataFrame([(3, "t", None, None, None, None, None, param)], TASK).write.parquet(f"{base}/task")
+    adapter_actions(spark, DATA).write.parquet(f"{base}/actions")
+    adapter_users(spark, DATA).write.parquet(f"{base}/users")
+    args = ["3", "--tasks-format", "parquet", "--tasks-path", f"{base}/task", "--input-format", "parquet",
+            "--actions-table", f"{base}/actions", "--users-table", f"{base}/users", "--sink-path", f"{base}/out",
+            "--sample-total", "1000", "--materialize", "checkpoint", "--idempotent"]
+    main(args, spark=spark)
+    first = {n: spark.read.parquet(f"{base}/out/{n}").count() for n in ("session_detail", "top10_session")}
+    main(args, spark=spark)  # a re-run of the same task replaces its rows
+    second = {n: spark.read.parquet(f"{base}/out/{n}").count() for n in ("session_detail", "top10_session")}
+    assert first == second and first["top10_session"] > 0
