@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import os
+import shutil
+import tempfile
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import visitlens
 from visitlens.plans.physical import MAX_BROADCAST_ROWS
 from visitlens.session import checkpoint_dir
 
@@ -23,3 +28,13 @@ def cut(df: DataFrame) -> DataFrame:
 def small(df: DataFrame, rows: int, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """Broadcast hint only when the counted ``rows`` are within ``max_rows``; else the join is left to a shuffle."""
     return F.broadcast(df) if rows <= max_rows else df
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once for each context (they may not have it installed)."""
+    sc = spark.sparkContext
+    if not getattr(sc, "_visitlens_shipped", False):
+        home = os.path.dirname(os.path.abspath(visitlens.__file__))
+        to = os.path.join(tempfile.mkdtemp(prefix="visitlens-"), "visitlens")
+        sc.addPyFile(shutil.make_archive(to, "zip", os.path.dirname(home), os.path.basename(home)))
+        sc._visitlens_shipped = True
