@@ -2,23 +2,27 @@
 
 from __future__ import annotations
 
-from visitlens.llm import chat_format, decontaminate, secrets
+from visitlens.llm import chat_format, decontaminate, jaccard_join, secrets
 from visitlens.llm.chat_format import op9_chat_format
 from visitlens.llm.decontaminate import op6_decontaminate
+from visitlens.llm.jaccard_join import op10_jaccard_join
 from visitlens.llm.lexicon_bpe import op1_lexicon_bpe
 from visitlens.llm.order_minhash import op5_order_minhash
+from visitlens.llm.quality import op4_compression_quality
 from visitlens.llm.secrets import op2_secret_scan
 from visitlens.llm.sharding import op8_sharding
 from visitlens.llm.token_count import op7_token_count
+from visitlens.llm.toxicity import op3_toxicity_chain
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_lexicon_bpe, op2_secret_scan, op5_order_minhash, op6_decontaminate, op7_token_count, op8_sharding,
-              op9_chat_format)
+    for f in (op1_lexicon_bpe, op2_secret_scan, op3_toxicity_chain, op4_compression_quality, op5_order_minhash,
+              op6_decontaminate, op7_token_count, op8_sharding, op9_chat_format, op10_jaccard_join)
 }
 
 ORACLE = {
     "op2_secret_scan": secrets.ORACLE,
     "op6_decontaminate": decontaminate.ORACLE,
     "op9_chat_format": chat_format.ORACLE,
+    "op10_jaccard_join": jaccard_join.ORACLE,
 }
