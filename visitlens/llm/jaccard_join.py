@@ -6,9 +6,9 @@ MinHash value; texts with the same first digits of a path share a node of that t
 full depth. Texts that share a node are candidates; they are gathered into candidate clusters by links to each
 node's first member, never as pairs, and all pairs of a cluster are compared exactly, in blocks. A link of
 similarity J is met at depth k with probability 1 - (1 - J**k)**TREES, so the links found give an estimate
-of the links missed; if found / (found + missed) is below ``TARGET`` the matched prefixes are shortened to the
+of the links missed; if found / (found + missed) is below the target the matched prefixes are shortened to the
 depth that the estimate asks for, and the join runs again. At full depth a link at the threshold is met with
-probability 0.988 at least.
+probability 0.998 at least.
 
 Equal texts are one text class and only its first document is compared. A large cluster is cut into blocks of
 about ``BLOCK_TEXTS`` texts or ``BLOCK_WORDS`` words and every pair of blocks is a task of its own, so no
@@ -35,12 +35,13 @@ from visitlens.sources.tables import read_table
 
 N = 5
 THRESHOLD = (4, 5)  # similarity 0.8, as a ratio so that the test is exact
-TREES = 24
-DEPTH = 8
+TREES = 28
+DEPTH = 7  # at most 8: a path is a long
 LEAST_DEPTH = 4
 TARGET = 0.998
 BLOCK_TEXTS = 512
 BLOCK_WORDS = 2_000_000
+CHUNK = 4 << 20  # characters worked on at once
 
 _rng = np.random.default_rng(7)
 _XOR = _rng.integers(0, 1 << 32, TREES * DEPTH, np.uint32)
@@ -96,7 +97,7 @@ def signatures(docs: DataFrame, doc: str, text: str) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts, at = batch.column("text").to_pylist(), 0
-            for a, b in chunks(texts):
+            for a, b in chunks(texts, CHUNK):
                 h, count, n_words = shingles(texts[a:b])
                 found = paths(h, count)
                 sizes = np.where(count > 0, TREES, 0)
@@ -194,7 +195,7 @@ def verify(docs: DataFrame, nodes: DataFrame, clusters: DataFrame, doc: str, tex
     def shingle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts, at = batch.column("text").to_pylist(), 0
-            for a, b in chunks(texts):
+            for a, b in chunks(texts, CHUNK):
                 h, count, _ = shingles(texts[a:b])
                 ends = np.cumsum(count)
                 sets = [np.unique(h[e - c : e]) for e, c in zip(ends, count, strict=True)]
@@ -242,7 +243,7 @@ def verify(docs: DataFrame, nodes: DataFrame, clusters: DataFrame, doc: str, tex
     return tasks.mapInArrow(work, "id bigint, root bigint, links bigint, missed array<double>")
 
 
-def classes(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:
+def classes(docs: DataFrame, doc: str = "doc_id", text: str = "text", target: float = TARGET) -> DataFrame:
     """For every row: (doc_id, node, text_id, class_id, keeper, n_links).
 
     ``text_id`` is the least id with the same text, ``class_id`` the least id of all texts linked directly or
@@ -257,7 +258,7 @@ def classes(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFra
         found = cut(verify(docs, nodes, candidate_clusters(nodes, depth), doc, text))
         sums = found.agg(F.sum("links"), *[F.sum(F.get("missed", F.lit(k))) for k in range(DEPTH - LEAST_DEPTH + 1)]).first()
         enough = [d for d in range(LEAST_DEPTH, DEPTH + 1)
-                  if not sums[0] or sums[0] / (sums[0] + sums[1 + d - LEAST_DEPTH]) >= TARGET]
+                  if not sums[0] or sums[0] / (sums[0] + sums[1 + d - LEAST_DEPTH]) >= target]
         wanted = max(enough, default=LEAST_DEPTH)
         if wanted >= depth:
             break
