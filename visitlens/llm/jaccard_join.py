@@ -41,7 +41,6 @@ LEAST_DEPTH = 4
 TARGET = 0.998
 BLOCK_TEXTS = 512
 BLOCK_WORDS = 2_000_000
-CHUNK = 4 << 20  # characters worked on at once
 
 _rng = np.random.default_rng(7)
 _XOR = _rng.integers(0, 1 << 32, TREES * DEPTH, np.uint32)
@@ -96,16 +95,14 @@ def signatures(docs: DataFrame, doc: str, text: str) -> DataFrame:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, at = batch.column("text").to_pylist(), 0
-            for a, b in chunks(texts, CHUNK):
-                h, count, n_words = shingles(texts[a:b])
+            for a, b, texts in chunks(batch.column("text")):
+                h, count, n_words = shingles(texts)
                 found = paths(h, count)
                 sizes = np.where(count > 0, TREES, 0)
                 mask = pa.array(count == 0)
                 lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(sizes))), pa.int32()),
                                                  pa.array(found.reshape(-1).view(np.int64), pa.int64()), mask=mask)
-                ids, nodes = (batch.column(c).slice(at, b - a) for c in ("doc_id", "node"))
-                at += b - a
+                ids, nodes = (batch.column(c).slice(a, b - a) for c in ("doc_id", "node"))
                 yield pa.RecordBatch.from_arrays([ids, nodes, pa.array(n_words), lists], ["doc_id", "node", "n_words", "paths"])
 
     return rows.mapInArrow(work, "doc_id bigint, node string, n_words bigint, paths array<bigint>")
@@ -194,16 +191,14 @@ def verify(docs: DataFrame, nodes: DataFrame, clusters: DataFrame, doc: str, tex
 
     def shingle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, at = batch.column("text").to_pylist(), 0
-            for a, b in chunks(texts, CHUNK):
-                h, count, _ = shingles(texts[a:b])
+            for a, b, texts in chunks(batch.column("text")):
+                h, count, _ = shingles(texts)
                 ends = np.cumsum(count)
                 sets = [np.unique(h[e - c : e]) for e, c in zip(ends, count, strict=True)]
                 sizes = [len(s) for s in sets]
                 lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(sizes))), pa.int32()),
                                                  pa.array(np.concatenate([*sets, np.zeros(0, np.uint64)]).view(np.int64)))
-                given = [batch.column(c).slice(at, b - a) for c in ("id", "label", "parts", "block")]
-                at += b - a
+                given = [batch.column(c).slice(a, b - a) for c in ("id", "label", "parts", "block")]
                 yield pa.RecordBatch.from_arrays([*given, lists], ["id", "label", "parts", "block", "hashes"])
 
     sets = picked.mapInArrow(shingle, "id bigint, label bigint, parts int, block int, hashes array<bigint>")

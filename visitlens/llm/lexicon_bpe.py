@@ -1,7 +1,7 @@
 """BPE encoding and decoding over a minimal acyclic transducer of frequent words.
 
-The words of all documents are counted; the most frequent ``LEXICON_WORDS`` are merged once and compiled into
-a minimal acyclic automaton in which words share prefixes and suffixes. Every arc carries an output; the sum
+The words of all documents are counted; the most frequent (at most ``LEXICON_WORDS``) are merged once and compiled
+into a minimal acyclic automaton in which words share prefixes and suffixes. Every arc carries an output; the sum
 of outputs along a word is its ordinal, which addresses the word's ids in the same file. The file is shipped
 with ``SparkContext.addFile`` and memory-mapped by the Python workers, so workers of one machine share it.
 Words that the automaton does not accept are merged exactly: many at a time in numpy up to ``LONG`` bytes, on
@@ -28,7 +28,7 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from visitlens.llm.common import body, ship_package
+from visitlens.llm.common import body, cut, ship_package
 from visitlens.llm.merges import NONE, Merges, load
 from visitlens.llm.pretoken import chunks
 from visitlens.sources.tables import read_table
@@ -43,9 +43,8 @@ def word_counts(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         splitter = load(path, False)[1]
         for batch in batches:
-            texts = batch.column(0).to_pylist()
-            for a, b in chunks(texts):
-                words, codes, _ = splitter.split(texts[a:b])
+            for _, _, texts in chunks(batch.column(0)):
+                words, codes, _ = splitter.split(texts)
                 n = np.bincount(codes[codes >= 0], minlength=len(words))
                 yield pa.RecordBatch.from_arrays([words, pa.array(n, pa.int64())], ["word", "n"])
 
@@ -180,14 +179,26 @@ def open_lexicon(name: str) -> Lexicon:
     return Lexicon(SparkFiles.get(name))
 
 
+def frequent_words(counts: DataFrame, most: int) -> list[bytes]:
+    """The words seen at least 2**k times, for the least k at which they are at most ``most``."""
+    counts = cut(counts)
+    many = counts.agg(*[F.count_if(F.col("n") >= F.lit(1 << k)).alias(f"k{k}") for k in range(48)]).first()
+    least = next((1 << k for k in range(48) if many[k] <= most), 1 << 48)
+    return [bytes(r[0]) for r in counts.where(F.col("n") >= least).select("word").collect()]
+
+
 def ship_lexicon(spark: SparkSession, words: list[bytes], path: str) -> str:
-    """Compile on the driver (at most ``LEXICON_WORDS`` words) and add the file to the session's executors."""
+    """Compile on the driver (at most ``LEXICON_WORDS`` words) and add the file to the session's executors, once."""
     blob = compile_lexicon(words, load(path, False)[0])
     name = f"lexicon-{hashlib.sha256(blob).hexdigest()[:24]}.bin"
-    file = os.path.join(tempfile.mkdtemp(prefix="lexicon-"), name)
-    with open(file, "wb") as f:
-        f.write(blob)
-    spark.sparkContext.addFile(file)
+    sc = spark.sparkContext
+    shipped = sc.__dict__.setdefault("_visitlens_lexicons", set())
+    if name not in shipped:
+        file = os.path.join(tempfile.mkdtemp(prefix="lexicon-"), name)
+        with open(file, "wb") as f:
+            f.write(blob)
+        sc.addFile(file)
+        shipped.add(name)
     return name
 
 
@@ -302,19 +313,16 @@ def encode(docs: DataFrame, path: str, doc: str = "doc_id", text: str = "text",
            lexicon_words: int = LEXICON_WORDS) -> DataFrame:
     """(doc_id, n_tokens, ids), or with ``digests`` (doc_id, n_tokens, ids_sha256, decoded_sha256)."""
     ship_package(docs.sparkSession)
-    frequent = word_counts(docs, path, text).orderBy(F.desc("n"), "word").limit(lexicon_words).select("word")
-    name = ship_lexicon(docs.sparkSession, [bytes(r[0]) for r in frequent.collect()], path)
+    name = ship_lexicon(docs.sparkSession, frequent_words(word_counts(docs, path, text), lexicon_words), path)
     rows = docs.select(F.col(doc).alias("doc_id"), body(text).alias("text"))
     kind = dict(rows.dtypes)["doc_id"]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, at = batch.column("text").to_pylist(), 0
-            for a, b in chunks(texts):
-                flat, n = encode_chunk(path, name, texts[a:b])
+            for a, b, texts in chunks(batch.column("text")):
+                flat, n = encode_chunk(path, name, texts)
                 ends = np.concatenate(([0], np.cumsum(n)))
-                given = [batch.column("doc_id").slice(at, b - a), pa.array(n, pa.int64())]
-                at += b - a
+                given = [batch.column("doc_id").slice(a, b - a), pa.array(n, pa.int64())]
                 if not digests:
                     ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int32()))
                     yield pa.RecordBatch.from_arrays([*given, ids], ["doc_id", "n_tokens", "ids"])

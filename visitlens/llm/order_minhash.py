@@ -27,7 +27,7 @@ from visitlens.sources.tables import read_table
 K = 8
 SKETCHES = 48
 PICK = 2
-ROWS_PER_BUCKET = 50_000
+ROWS_PER_BUCKET = 20_000
 LEAST_BUCKETS = 64
 BLOCK = 1 << 21  # hash values held at once
 
@@ -122,7 +122,7 @@ def with_next(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> DataF
     if not n:
         return rows.select(F.lit(0).alias("bucket"), F.lit(0).alias("closing"), "doc_id", "text")
     n_buckets = max(LEAST_BUCKETS, n // ROWS_PER_BUCKET)
-    share = min(1.0, 24 * n_buckets / n)
+    share = min(1.0, 12 * n_buckets / n)
     picked = sorted(r[0] for r in ids.where(F.col("doc_id").isNotNull() & (
         F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < F.lit(int(share * (1 << 30))))).collect())
     inner = sorted({float(picked[i * len(picked) // n_buckets]) for i in range(1, n_buckets)}) if picked else []

@@ -14,9 +14,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 SPACE, LETTER, NUMBER, OTHER = 0, 1, 2, 3
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 2 << 20
 
 
 def _classes() -> np.ndarray:
@@ -47,16 +48,17 @@ def to_bytes(word: str) -> bytes:
     return bytes(map(_TO_BYTE.__getitem__, word))
 
 
-def chunks(texts: list[str], limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int]]:
-    """Runs [a, b) of texts of about ``limit`` characters; a longer text is a chunk by itself."""
+def chunks(column: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int, list[str]]]:
+    """Runs [a, b) of a text column of about ``limit`` bytes, and their texts; a longer text is a run by itself."""
+    sizes = pc.binary_length(column).to_pylist()
     a = size = 0
-    for b, t in enumerate(texts):
-        if b > a and size + len(t) > limit:
-            yield a, b
+    for b, n in enumerate(sizes):
+        if b > a and size + n > limit:
+            yield a, b, column.slice(a, b - a).to_pylist()
             a, size = b, 0
-        size += len(t)
-    if a < len(texts):
-        yield a, len(texts)
+        size += n
+    if a < len(sizes):
+        yield a, len(sizes), column.slice(a).to_pylist()
 
 
 def plain(text: str) -> bool:
