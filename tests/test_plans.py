@@ -3,6 +3,7 @@
 import pytest
 
 import __spark_entry__ as E
+from visitlens.plans.queries import QUERIES
 
 DATA = "/root/testdata/sf0.001"
 
@@ -15,7 +16,7 @@ def physical(df):
 def plans(spark):
     spark.conf.set("spark.sql.adaptive.enabled", "false")  # inspect the static plan
     try:
-        yield {name: physical(fn(spark, DATA)) for name, fn in E.queries().items()}
+        yield {name: physical(fn(spark, DATA)) for name, fn in QUERIES.items()}
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
 

@@ -6,8 +6,9 @@ from visitlens.session import checkpoint_dir, scale_conf
 
 def test_scale_conf_sizes_partitions_from_input():
     big = scale_conf(100 * 2**40)  # 100 TiB of actions
-    assert int(big["spark.sql.shuffle.partitions"]) == 200_000  # capped
-    mid = scale_conf(64 * 2**30, partition_bytes=256 << 20)  # 64 GiB
+    assert int(big["spark.sql.shuffle.partitions"]) == 20_000  # capped: the driver tracks maps x reducers
+    assert 100 * 2**40 / int(big["spark.sql.files.maxPartitionBytes"]) <= 8 * 20_000
+    mid = scale_conf(512 * 2**30, partition_bytes=256 << 20)  # an eighth of 512 GiB is shuffled
     assert int(mid["spark.sql.shuffle.partitions"]) == 256
     assert int(scale_conf(10**6)["spark.sql.shuffle.partitions"]) == 200  # floor
     assert mid["spark.sql.adaptive.advisoryPartitionSizeInBytes"] == str(256 << 20)

@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from visitlens.operators import sessions
 from visitlens.operators.topsessions import session_category_clicks
 from visitlens.params import TaskParams
 from visitlens.plans.job import SessionJob, SessionPlans
@@ -82,3 +83,29 @@ def test_raw_detail_join_is_split(skew_session):
     assert "SortMergeJoin(skew=true)" in final
     got = {r["category_id"]: r["click_count"] for r in clicks.where("session_id = 'hot'").collect()}
     assert got == expected_hot_clicks()
+
+
+@pytest.mark.parametrize("mode", ["none", "persist", "checkpoint"])
+def test_hot_session_is_split_with_broadcast_allowed(skew_session, mode):
+    """The deployment's settings: users small enough to broadcast, a session without build_session's flag."""
+    spark = skew_session
+    names = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold",
+             "spark.sql.adaptive.forceOptimizeSkewedJoin")
+    before = {n: spark.conf.get(n, None) for n in names}
+    try:
+        spark.conf.set(names[0], "256k")
+        spark.conf.set(names[1], "256k")
+        spark.conf.unset(names[2])
+        actions, users = skewed_inputs(spark)
+        plans = SessionPlans(SessionJob(TaskParams(), task_id=1), actions, users, materialize_mode=mode)
+        clicks = session_category_clicks(sessions.actions_of_sessions(plans.actions, plans.filtered))
+        clicks.collect()
+        final = clicks._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+        # split, or the actions are not shuffled at all (written sessions measured small)
+        assert "SortMergeJoin(skew=true)" in final or ("BroadcastHashJoin" in final and "SortMergeJoin" not in final)
+        got = {r["category_id"]: r["click_count"] for r in clicks.where("session_id = 'hot'").collect()}
+        assert got == expected_hot_clicks()
+        plans.release()
+    finally:
+        for n, v in before.items():
+            spark.conf.unset(n) if v is None else spark.conf.set(n, v)

@@ -3,6 +3,8 @@
 import json
 import tempfile
 
+import pytest
+
 from visitlens.params import TaskParams, task_id_from_args
 from visitlens.schemas import INFO, TASK
 from visitlens.sources.generate import GeneratorSpec, generate_actions, generate_products, generate_users
@@ -34,7 +36,10 @@ def test_task_lookup_and_columnar_params(spark):
     tasks = spark.createDataFrame([(1, "t", None, None, None, None, None, param), (2, "u", None, None, None, None, None, "{}")], TASK)
     assert find_task(tasks, 3).count() == 0
     assert load_task_params(tasks, 1).professionals == ("A", "B")
-    assert load_task_params(tasks, 3) == TaskParams()
+    with pytest.raises(LookupError):
+        load_task_params(tasks, 3)
+    with pytest.raises(LookupError):
+        load_task_params(tasks.union(tasks), 1)
     rows = {r["task_id"]: r for r in parse_task_params(tasks).collect()}
     assert rows[1]["start_date"] == "2024-01-02" and rows[1]["start_age"] == 5 and rows[1]["professionals"] == "A,B"
     assert rows[2]["start_date"] is None and rows[2]["start_age"] is None
@@ -68,3 +73,19 @@ def test_generator_shape_and_determinism(spark):
     assert all(len(v - {None}) <= 1 for v in by_session.values())
     assert generate_users(spark, spec).count() == 20
     assert generate_products(spark, spec).count() == 100
+
+
+def test_both_parameter_forms_agree(spark):
+    """Empty, mixed and malformed fields: each costs only itself, and empty text is absent."""
+    docs = ['{}', '{"cities":[""],"sex":[""],"keywords":[""],"categoryIds":[""],"professionals":[""],"startAge":[""],"endAge":[""]}',
+            '{"startDate":"2024-01-01","sex":["male"]}', '{"n":3,"sex":["male"]}', '{"sex":["male"],"obj":{"a":1}}',
+            '{"sex":[],"cities":[null],"keywords":["a,b","c"],"startAge":[5],"endAge":["9"]}']
+    tasks = spark.createDataFrame([(i, "t", None, None, None, None, None, d) for i, d in enumerate(docs)], TASK)
+    rows = {r["task_id"]: r.asDict() for r in parse_task_params(tasks).collect()}
+    for i, d in enumerate(docs):
+        p = TaskParams.from_json(d)
+        for name, value in rows[i].items():
+            if name != "task_id":
+                own = getattr(p, name)
+                assert value == (",".join(own) if isinstance(own, tuple) else own), (d, name)
+    assert TaskParams.from_json(docs[1]) == TaskParams()

@@ -17,6 +17,7 @@ import sys
 
 from visitlens.params import task_id_from_args
 from visitlens.plans.job import SessionJob, SessionPlans, run
+from visitlens.schemas import USER_INFO, USER_VISIT_ACTION
 from visitlens.session import build_session, scale_conf
 from visitlens.sinks import ResultSink
 from visitlens.sources.actions import catalog_actions, catalog_users
@@ -61,8 +62,8 @@ def main(argv: list[str] | None = None, spark=None) -> dict:
     params = load_task_params(tasks, task_id)
 
     if args.input_format:
-        actions = spark.read.format(args.input_format).load(args.actions_table)
-        users = spark.read.format(args.input_format).load(args.users_table)
+        actions = spark.read.format(args.input_format).schema(USER_VISIT_ACTION).load(args.actions_table)
+        users = spark.read.format(args.input_format).schema(USER_INFO).load(args.users_table)
     else:
         actions, users = catalog_actions(spark, args.actions_table), catalog_users(spark, args.users_table)
 

@@ -6,15 +6,17 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
+ACTION_TIME = r"^(\d{4}-\d{1,2}-\d{1,2} \d{1,2}:\d{1,2}:\d{1,2})(?:\.\d+)?$"
 
 
 
 def parse_action_time(col: Column) -> Column:
-    """Wall-clock parse of ``yyyy-MM-dd H:mm:ss`` (hour padded or not); NULL on bad text.
+    """Wall-clock parse of ``yyyy-MM-dd H:mm:ss`` (fields padded or not); NULL on any other text.
 
-    A cast to timestamp_ntz is zone-free and accepts one- or two-digit fields.
+    A fraction of the second is not read, so differences of parsed times are whole seconds. The cast to
+    timestamp_ntz is zone-free.
     """
-    return col.try_cast("timestamp_ntz")
+    return F.regexp_extract(col, ACTION_TIME, 1).try_cast("timestamp_ntz")
 
 
 def format_time(col: Column) -> Column:
@@ -42,9 +44,8 @@ def strings_to_csv(col: Column) -> Column:
 
 
 def int_div(num: Column, den: Column) -> Column:
-    """Floor division of non-negative integers (Spark's ``div``), exact: num - num mod den is a
-    multiple of den."""
-    return ((num - F.pmod(num, den)) / den).cast("bigint")
+    """Integer division (Spark's ``div``), exact over the whole bigint range."""
+    return F.call_function("div", num, den)
 
 
 def ratio_half_up(count: Column, total: Column, decimals: int = 2) -> Column:

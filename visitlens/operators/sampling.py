@@ -24,7 +24,7 @@ def hour_session_counts(filtered: DataFrame) -> DataFrame:
     return _with_day_hour(filtered).groupBy("date", "hour").agg(F.count(F.lit(1)).alias("session_count"))
 
 
-def extract_quota(hour_counts: DataFrame, total: int = DEFAULT_SAMPLE_TOTAL) -> DataFrame:
+def extract_quota(hour_counts: DataFrame, total: int) -> DataFrame:
     """K3: per_day = total div number of days; an hour gets count * per_day div day_count
     sessions, at most its count. Integer arithmetic, so the quota is exact.
 
@@ -51,17 +51,16 @@ def sample_key(seed: int | str) -> F.Column:
 def sample_sessions(
     filtered: DataFrame,
     quota: DataFrame,
+    total: int,
     seed: int | str = 42,
-    total: int = DEFAULT_SAMPLE_TOTAL,
-    hour_bound: int | None = None,
 ) -> DataFrame:
     """K4: in every (date, hour), the ``extract_count`` sessions with the smallest sample key.
 
     ``extract_count <= per_day <= total``, so ``row_number <= total`` (a literal) is implied.
     Stating it lets Spark run a partial WindowGroupLimit on the map side: a huge hour sends at
     most ``total`` rows per map task through the shuffle, and the final window sorts only those.
-    The quota table is joined after the limit; it has one row per (date, hour) and is broadcast
-    when ``hour_bound`` proves it small, else left to AQE.
+    ``total`` must be the one that made ``quota``. The quota table, one row per (date, hour), is
+    joined after the limit and the strategy is left to AQE's measured sizes.
     """
     start = F.col("start_time")
     w = Window.partitionBy("date", "hour").orderBy("sample_key", "session_id")
@@ -69,7 +68,7 @@ def sample_sessions(
         "*", day_of(start).alias("date"), hour_of(start).alias("hour"), sample_key(seed).alias("sample_key")
     )
     ranked = keyed.select("*", F.row_number().over(w).alias("pick")).where(F.col("pick") <= total)
-    quotas = broadcast_if_bounded(quota.select("date", "hour", "extract_count"), hour_bound)
+    quotas = quota.select("date", "hour", "extract_count")
     return ranked.join(quotas, ["date", "hour"], "inner").where(F.col("pick") <= F.col("extract_count"))
 
 
@@ -77,9 +76,8 @@ def random_extract(
     filtered: DataFrame,
     quota: DataFrame,
     task_id: int,
+    total: int,
     seed: int | str = 42,
-    total: int = DEFAULT_SAMPLE_TOTAL,
-    hour_bound: int | None = None,
     actions: DataFrame | None = None,
     sampled: DataFrame | None = None,
 ) -> DataFrame:
@@ -89,7 +87,7 @@ def random_extract(
     the sampled sessions (at most ``total``) are built from their ``actions`` through a broadcast
     of the sample (no shuffle of the actions).
     """
-    picked = sampled if sampled is not None else sample_sessions(filtered, quota, seed, total, hour_bound)
+    picked = sampled if sampled is not None else sample_sessions(filtered, quota, total, seed)
     if "search_keywords" not in picked.columns:
         if actions is None:
             raise ValueError("session facts need the actions to list keywords and categories")
@@ -103,7 +101,7 @@ def random_extract(
     )
 
 
-def random_extract_detail(actions: DataFrame, sample: DataFrame, task_id: int, total: int = DEFAULT_SAMPLE_TOTAL) -> DataFrame:
+def random_extract_detail(actions: DataFrame, sample: DataFrame, task_id: int, total: int) -> DataFrame:
     """Action rows (of the task's date range) of the sampled sessions. The sample has at
     most ``total`` rows, so its ids are broadcast."""
     ids = broadcast_if_bounded(sample.select("session_id"), total)

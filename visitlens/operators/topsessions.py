@@ -20,7 +20,7 @@ def session_category_clicks(detail: DataFrame) -> DataFrame:
 
 
 
-def top_sessions(clicks: DataFrame, top_categories: DataFrame, task_id: int, n: int = 10, n_categories: int = 10) -> DataFrame:
+def top_sessions(clicks: DataFrame, top_categories: DataFrame, task_id: int, n: int, n_categories: int) -> DataFrame:
     """K2: for each top category the n sessions with most clicks on it (session id breaks ties).
 
     The top-category list has at most ``n_categories`` rows, so it is broadcast. The filter on
@@ -36,7 +36,7 @@ def top_sessions(clicks: DataFrame, top_categories: DataFrame, task_id: int, n:
 
 
 def top_session_detail(
-    top: DataFrame, detail: DataFrame, task_id: int, distinct: bool = False, row_bound: int = 100
+    top: DataFrame, detail: DataFrame, task_id: int, row_bound: int, distinct: bool = False
 ) -> DataFrame:
     """Detail rows of the top sessions.
 

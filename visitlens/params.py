@@ -41,7 +41,7 @@ def first_element(value: object) -> str | None:
         if not value or value[0] is None:
             return None
         head = value[0]
-        return head if isinstance(head, str) else json.dumps(head)
+        return head if isinstance(head, str) else json.dumps(head, separators=(",", ":"))
     return None
 
 
@@ -75,7 +75,7 @@ class TaskParams:
         kwargs: dict[str, object] = {}
         for attr in FIELD_NAMES:
             value = values.get(attr)
-            if value is None:
+            if value is None or value == "":  # an unselected field of a form filters nothing
                 continue
             if attr in MULTI_VALUED:
                 if isinstance(value, str):

@@ -3,7 +3,7 @@ five results, all in Catalyst plans. The driver only holds the parameters."""
 
 from __future__ import annotations
 
-import datetime as dt
+import uuid
 from dataclasses import dataclass, field
 from functools import cached_property
 
@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from visitlens.operators import categories, sampling, sessions, stats, topsessions
 from visitlens.operators.filters import FACT_PREDICATES, filter_sessions
 from visitlens.params import TaskParams
-from visitlens.plans.physical import broadcast_if_bounded, materialize
+from visitlens.plans.physical import broadcast_if_bounded, drop_folder, materialize
+from visitlens.session import checkpoint_dir
 from visitlens.sinks import ResultSink
 from visitlens.sources import adapter_actions, adapter_users, scan_actions, scan_users
 
@@ -32,16 +33,6 @@ class SessionJob:
     top_categories: int = TOP_CATEGORIES
     top_sessions: int = TOP_SESSIONS_PER_CATEGORY
 
-    def hour_bound(self) -> int | None:
-        """Upper bound on (date, hour) groups of session start times, when the date range is
-        known: 24 per day of the range plus one day for sessions that run past midnight."""
-        try:
-            lo = dt.date.fromisoformat(self.params.start_date or "")
-            hi = dt.date.fromisoformat(self.params.end_date or "")
-        except ValueError:
-            return None
-        return 24 * ((hi - lo).days + 2)
-
 
 @dataclass
 class SessionPlans:
@@ -52,6 +43,12 @@ class SessionPlans:
     user_source: DataFrame
     materialize_mode: str = "none"
     _materialized: list[DataFrame] = field(default_factory=list)
+    _folder: str | None = None
+
+    def __post_init__(self) -> None:
+        # The skewed semi join of J2 is split only with this setting; it is read when the plan runs,
+        # so it must not depend on who built the session.
+        self.action_source.sparkSession.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
 
     @classmethod
     def from_test_tables(cls, spark: SparkSession, data_dir: str, job: SessionJob, **kw) -> SessionPlans:
@@ -60,8 +57,10 @@ class SessionPlans:
         return cls(job, actions, adapter_users(spark, data_dir), **kw)
 
     def _keep(self, df: DataFrame) -> DataFrame:
-        out = materialize(df, self.materialize_mode)
-        if out is not df:
+        if self.materialize_mode == "checkpoint" and self._folder is None:
+            self._folder = f"{checkpoint_dir(df.sparkSession)}/job-{uuid.uuid4().hex}"
+        out = materialize(df, self.materialize_mode, f"{self._folder}/{len(self._materialized)}")
+        if self.materialize_mode != "none":  # persist() returns the frame itself
             self._materialized.append(out)
         return out
 
@@ -87,7 +86,10 @@ class SessionPlans:
     def filtered(self) -> DataFrame:
         """Filtered session facts, read by statistics, sampling and the category reports:
         materialised once when the job runs."""
-        enriched = sessions.enrich_sessions(self.session_facts, scan_users(self.user_source))
+        # A merge join with the users: if they were broadcast, the sessions would reach J2 without a
+        # shuffle of their own, and AQE splits a hot session only between two shuffles.
+        users = scan_users(self.user_source).hint("merge")
+        enriched = sessions.enrich_sessions(self.session_facts, users)
         return self._keep(filter_sessions(enriched, self.job.params, FACT_PREDICATES))
 
     @cached_property
@@ -123,13 +125,13 @@ class SessionPlans:
         """The sampled filtered sessions (at most sample_total rows), read by the sample output and
         by both detail outputs: materialised (it is small by construction)."""
         j = self.job
-        return self._keep(sampling.sample_sessions(self.filtered, self.quota, j.seed, j.sample_total, j.hour_bound()))
+        return self._keep(sampling.sample_sessions(self.filtered, self.quota, j.sample_total, j.seed))
 
     @cached_property
     def random_extract(self) -> DataFrame:
         j = self.job
         return sampling.random_extract(
-            self.filtered, self.quota, j.task_id, j.seed, j.sample_total, actions=self.actions, sampled=self.sampled
+            self.filtered, self.quota, j.task_id, j.sample_total, j.seed, actions=self.actions, sampled=self.sampled
         )
 
     @cached_property
@@ -190,9 +192,13 @@ class SessionPlans:
         }
 
     def release(self) -> None:
-        for df in self._materialized:
-            df.unpersist()
+        """Drop what the run materialised: cached blocks, or the run's folder of written tables."""
+        for df in reversed(self._materialized):
+            df.unpersist(blocking=True)
         self._materialized.clear()
+        if self._folder is not None:
+            drop_folder(self.action_source.sparkSession, self._folder)
+            self._folder = None
 
 
 def run(plans: SessionPlans, sink: ResultSink) -> dict[str, int | None]:

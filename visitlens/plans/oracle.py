@@ -238,7 +238,6 @@ def oracle_sql() -> dict[str, str]:
         "pay_category_counts": main
         + "SELECT category_id, count(*) AS pay_count FROM cat_events WHERE kind = 2 GROUP BY category_id",
         "category_counts": main + "SELECT * FROM category_counts",
-        "category_counts_detail": main + "SELECT * FROM category_counts",
         "category_counts_joined": main + "SELECT * FROM category_counts",
         "top10_category": main
         + f"SELECT {TASK}, category_id, click_count, order_count, pay_count FROM top10",
@@ -248,6 +247,10 @@ def oracle_sql() -> dict[str, str]:
         + f"SELECT {TASK}, {DETAIL_COLUMNS} FROM top_sessions t JOIN detail d USING (session_id)",
         "top10_session_detail_distinct": main
         + f"SELECT {TASK}, {DETAIL_COLUMNS} FROM detail WHERE session_id IN (SELECT session_id FROM top_sessions)",
+        "session_detail_output": main
+        + f"""SELECT {TASK}, {DETAIL_COLUMNS} FROM actions WHERE session_id IN (SELECT session_id FROM sample)
+            UNION ALL SELECT {TASK}, {DETAIL_COLUMNS} FROM top_sessions t JOIN detail d USING (session_id)""",
+        "session_filter_empty": base("main") + f"SELECT {ENRICHED_COLUMNS} FROM enriched",
         "composite_sort": main + "SELECT * FROM category_counts",
         "label_counts": main
         + f"""SELECT label, count(*) AS count FROM (

@@ -144,10 +144,16 @@ def category_counts(spark, data_dir):
     return plans(spark, data_dir, "main").category_counts
 
 
-def category_counts_detail(spark, data_dir):
-    """A7 over the filtered sessions' actions, built directly from the operator (same result as the
-    job's ``category_counts``; kept as the operator-level check)."""
-    return categories.category_counts(plans(spark, data_dir, "main").detail_actions)
+def session_detail_output(spark, data_dir):
+    """The job's ``session_detail`` table: sampled and top sessions' rows in one scan."""
+    return plans(spark, data_dir, "main").session_detail_output
+
+
+def session_filter_empty(spark, data_dir):
+    """A form with every filter field left empty: nothing is filtered."""
+    form = TaskParams.from_values({"start_age": "", "end_age": "", "professionals": "", "cities": "", "sex": "",
+                                   "keywords": "", "category_ids": ""})
+    return sessions.enriched_output(filters.filter_sessions(plans(spark, data_dir, "main").enriched, form))
 
 
 def category_counts_joined(spark, data_dir):
@@ -172,7 +178,7 @@ def top10_session_detail(spark, data_dir):
 
 def top10_session_detail_distinct(spark, data_dir):
     p = plans(spark, data_dir, "main")
-    return topsessions.top_session_detail(p.top10_session, p.actions, TASK_ID, distinct=True)
+    return topsessions.top_session_detail(p.top10_session, p.actions, TASK_ID, p.job.top_categories * p.job.top_sessions, distinct=True)
 
 
 def composite_sort(spark, data_dir):
@@ -220,7 +226,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "order_category_counts": order_category_counts,
     "pay_category_counts": pay_category_counts,
     "category_counts": category_counts,
-    "category_counts_detail": category_counts_detail,
+    "session_detail_output": session_detail_output,
+    "session_filter_empty": session_filter_empty,
     "category_counts_joined": category_counts_joined,
     "top10_category": top10_category,
     "session_category_clicks": session_category_clicks,

@@ -60,16 +60,21 @@ def build_session(
     return spark
 
 
-def scale_conf(input_bytes: int, partition_bytes: int = 256 << 20, max_partitions: int = 200_000) -> dict[str, str]:
+def scale_conf(input_bytes: int, partition_bytes: int = 256 << 20,
+               max_partitions: int = 20_000, shuffled_share: float = 0.125) -> dict[str, str]:
     """Partition sizing for a run over ``input_bytes`` of action data on a cluster.
 
-    Scans are split into ``partition_bytes`` pieces; the first shuffle starts with enough
-    partitions that each holds about ``partition_bytes`` of the (pruned) action rows, and AQE
+    Scans are split into pieces of ``partition_bytes``, larger ones where there would be more than eight
+    map tasks for each of ``max_partitions``. What is shuffled is ``shuffled_share`` of the input (pruned
+    columns and partial aggregates); the first shuffle starts with enough partitions that each holds about
+    ``partition_bytes`` of it, at most ``max_partitions`` (the driver tracks maps x reducers), and AQE
     coalesces small ones back to the advisory size. Skew thresholds follow the same size.
     """
-    partitions = max(200, min(max_partitions, -(-input_bytes // partition_bytes)))
+    shuffled = int(input_bytes * shuffled_share)
+    partitions = max(200, min(max_partitions, -(-shuffled // partition_bytes)))
+    split_bytes = max(partition_bytes, -(-input_bytes // (8 * max_partitions)))
     return {
-        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(split_bytes),
         "spark.sql.shuffle.partitions": str(partitions),
         "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
@@ -92,6 +97,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         sc.setCheckpointDir(configured)
+    elif not sc.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     else:
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="visitlens-ckpt-", dir=os.environ.get("TMPDIR", "/tmp")))
     return sc.getCheckpointDir()

@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 
 @dataclass
@@ -49,8 +50,10 @@ class ResultSink:
 
 
 def write_tab_separated(df: DataFrame, path: str) -> None:
-    """Text sink of key<TAB>count lines; an existing output folder is replaced."""
-    df.write.mode("overwrite").option("sep", "\t").option("header", "false").csv(path)
+    """Text sink of key<TAB>count lines, the values as they are (no quoting); an existing output folder is
+    replaced."""
+    values = [F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")) for c in df.columns]
+    df.select(F.concat_ws("\t", *values).alias("value")).write.mode("overwrite").text(path)
 
 
 def write_action_table(actions: DataFrame, path: str, mode: str = "append") -> None:

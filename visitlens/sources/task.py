@@ -23,7 +23,6 @@ TASK_COLUMNS = [
     "task_status",
     "task_param",
 ]
-PARAM_DOC = "map<string,array<string>>"
 
 
 def read_tasks(spark: SparkSession, fmt: str = "jdbc", path: str | None = None, **options: str) -> DataFrame:
@@ -38,9 +37,13 @@ def find_task(tasks: DataFrame, task_id: int) -> DataFrame:
     return tasks.where(F.col("task_id") == F.lit(task_id)).select(*TASK_COLUMNS)
 
 
+# A declared struct: a field of another shape becomes NULL by itself and leaves the others alone.
+PARAM_DOC = ", ".join(f"{name} array<string>" for name in FIELD_NAMES.values())
+
+
 def _first(doc: Column, field: str) -> Column:
-    """Element 0 of the array under ``field``; NULL when absent, not an array, or empty."""
-    return F.try_element_at(F.try_element_at(doc, F.lit(field)), F.lit(1))
+    """Element 0 of the array under ``field``; NULL when absent, not an array, empty, or empty text."""
+    return F.nullif(F.get(doc[field], F.lit(0)), F.lit(""))
 
 
 def parse_task_params(tasks: DataFrame) -> DataFrame:
@@ -56,9 +59,12 @@ def parse_task_params(tasks: DataFrame) -> DataFrame:
 
 
 def load_task_params(tasks: DataFrame, task_id: int) -> TaskParams:
-    """Parameters of one task for building the job's plan (empty parameters when not found)."""
-    rows = find_task(tasks, task_id).select("task_param").limit(1).collect()
-    return TaskParams.from_json(rows[0]["task_param"]) if rows else TaskParams()
+    """Parameters of one task for building the job's plan; an unknown or ambiguous id is an error, not a
+    job over everything."""
+    rows = find_task(tasks, task_id).select("task_param").limit(2).collect()
+    if len(rows) != 1:
+        raise LookupError(f"task {task_id}: {'not found' if not rows else 'more than one row'}")
+    return TaskParams.from_json(rows[0]["task_param"])
 
 
 def day_tasks(spark: SparkSession, data_dir: str) -> DataFrame:
