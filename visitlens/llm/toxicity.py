@@ -6,9 +6,10 @@ those inputs are out-of-fold predictions: for a row of fold k they come from a m
 and whose weights were fitted without fold k, so a later model learns from probabilities as uncertain as those
 it will get.
 
-Word counts cover all labelled documents and are made by Spark; for each category and fold the ``WORDS`` words
-that differ most (in standard errors) between the labels are selected. Weights are fitted on at most
-``FIT_DOCS`` labelled documents, chosen by hash order. Every whole text is scored, in JVM expressions.
+The fit reads at most ``FIT_DOCS`` labelled documents, chosen by hash order, so their ids can be broadcast and
+no text of the others is shuffled. Spark counts their words; for each category and fold the ``WORDS`` words that
+differ most (in standard errors) between the labels are selected, and weights are fitted on their presence.
+Every whole text is scored, in JVM expressions.
 
 Defined cases: a null or empty text has no words and is scored from the offsets alone; repeated labels of a
 document count by their maximum; rows with a null label in any category are not learnt from; a category with
@@ -126,14 +127,14 @@ def fit(docs: DataFrame, labels: DataFrame, categories: tuple[str, ...] = CATEGO
         text: str = "text") -> Chain:
     known = labels.where(reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in (doc, *categories)]))
     known = known.groupBy(F.col(doc).alias("id")).agg(*[F.max(c).alias(c) for c in categories])
-    rows = docs.select(F.col(doc).alias("id"), body(text).alias("text"))
+    known = cut(known.orderBy(F.xxhash64("id", F.lit(43)), "id").limit(FIT_DOCS))
+    rows = docs.select(F.col(doc).alias("id"), body(text).alias("text")).join(F.broadcast(known), "id")
     fold = F.pmod(F.xxhash64("id", F.lit(47)), F.lit(FOLDS)).alias("fold")
-    chosen = select_words(rows.join(known, "id").select("text", *categories, fold), categories)
+    chosen = select_words(rows.select("text", *categories, fold), categories)
 
     names = sorted(set().union(*map(set, chosen.values())))
     column = {w: k for k, w in enumerate(names)}
-    few = known.orderBy(F.xxhash64("id", F.lit(43)), "id").limit(FIT_DOCS)
-    sample = rows.join(F.broadcast(few), "id").select("id", fold, *categories, present(names).alias("seen"))
+    sample = rows.select("id", fold, *categories, present(names).alias("seen"))
     sample = sample.orderBy("id").collect()
     x = np.zeros((len(sample), len(names)), np.float32)
     for i, r in enumerate(sample):
