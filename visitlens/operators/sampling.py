@@ -33,12 +33,13 @@ def extract_quota(hour_counts: DataFrame, total: int) -> DataFrame:
     """
     all_rows = Window.partitionBy()
     day = Window.partitionBy("date")
-    days = F.size(F.collect_set("date").over(all_rows))
-    per_day = int_div(F.lit(total).cast("bigint"), days.cast("bigint"))
-    day_count = F.sum("session_count").over(day)
+    first_of_day = (F.row_number().over(day.orderBy("hour")) == 1).cast("bigint")
     out = hour_counts.select(
-        "date", "hour", "session_count", day_count.alias("day_session_count"), per_day.alias("per_day")
+        "date", "hour", "session_count", F.sum("session_count").over(day).alias("day_session_count"),
+        first_of_day.alias("first_of_day"),
     )
+    per_day = int_div(F.lit(total).cast("bigint"), F.sum("first_of_day").over(all_rows))
+    out = out.select("date", "hour", "session_count", "day_session_count", per_day.alias("per_day"))
     quota = F.least(F.col("session_count"), int_div(F.col("session_count") * F.col("per_day"), F.col("day_session_count")))
     return out.withColumn("extract_count", quota)
 

@@ -32,6 +32,9 @@ class SessionJob:
     seed: int | str = 42
     top_categories: int = TOP_CATEGORIES
     top_sessions: int = TOP_SESSIONS_PER_CATEGORY
+    # A session that is in the sample or in several top lists is listed in session_detail once for
+    # each of them; with this option once in all.
+    distinct_detail: bool = False
 
 
 @dataclass
@@ -51,9 +54,9 @@ class SessionPlans:
         self.action_source.sparkSession.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
 
     @classmethod
-    def from_test_tables(cls, spark: SparkSession, data_dir: str, job: SessionJob, **kw) -> SessionPlans:
+    def from_test_tables(cls, spark: SparkSession, data_dir: str, job: SessionJob, session_per: str = "day", **kw) -> SessionPlans:
         """Plans over the adapter views of a test-data directory."""
-        actions = adapter_actions(spark, data_dir, job.params.start_date, job.params.end_date)
+        actions = adapter_actions(spark, data_dir, job.params.start_date, job.params.end_date, session_per)
         return cls(job, actions, adapter_users(spark, data_dir), **kw)
 
     def _keep(self, df: DataFrame) -> DataFrame:
@@ -131,7 +134,8 @@ class SessionPlans:
     def random_extract(self) -> DataFrame:
         j = self.job
         return sampling.random_extract(
-            self.filtered, self.quota, j.task_id, j.sample_total, j.seed, actions=self.actions, sampled=self.sampled
+            self.filtered, self.quota, j.task_id, j.sample_total, j.seed,
+            actions=self.listed_actions if self._shares else self.actions, sampled=self.sampled
         )
 
     @cached_property
@@ -139,9 +143,14 @@ class SessionPlans:
         j = self.job
         return sampling.random_extract_detail(self.actions, self.sampled, j.task_id, j.sample_total)
 
+    @property
+    def _shares(self) -> bool:
+        """Are intermediate tables kept, so that reading one twice does not compute it twice?"""
+        return self.materialize_mode != "none"
+
     @cached_property
     def category_counts(self) -> DataFrame:
-        return categories.category_counts(self.detail_actions)
+        return categories.category_counts(self.detail_actions, self.session_category_clicks if self._shares else None)
 
     @cached_property
     def top10_category(self) -> DataFrame:
@@ -150,7 +159,8 @@ class SessionPlans:
 
     @cached_property
     def session_category_clicks(self) -> DataFrame:
-        return topsessions.session_category_clicks(self.detail_actions)
+        """Read by the category counts and by the top sessions, so materialised when the job runs."""
+        return self._keep(topsessions.session_category_clicks(self.detail_actions))
 
     @cached_property
     def top10_session(self) -> DataFrame:
@@ -169,17 +179,33 @@ class SessionPlans:
             self.top10_session, self.actions, j.task_id, row_bound=j.top_categories * j.top_sessions
         )
 
+    @property
+    def _listed_bound(self) -> int:
+        return self.job.sample_total + self.job.top_categories * self.job.top_sessions
+
+    @property
+    def _listed_ids(self) -> DataFrame:
+        """Ids of the sampled and of the top sessions, once for each list they are in."""
+        return self.sampled.select("session_id").unionByName(self.top10_session.select("session_id"))
+
+    @cached_property
+    def listed_actions(self) -> DataFrame:
+        """Actions of the sampled and the top sessions, each once, from one scan: the sample's keyword and
+        category lists and the detail table read them, so materialised when the job runs."""
+        ids = broadcast_if_bounded(self._listed_ids.distinct(), self._listed_bound)
+        return self._keep(sessions.actions_of_sessions(self.actions, ids))
+
     @cached_property
     def session_detail_output(self) -> DataFrame:
         """The ``session_detail`` table: rows of the sampled sessions (once each) and of the top
         sessions (once per category list they are in), read in ONE scan of the actions joined to
         the broadcast multiset of those ids (at most sample_total + categories x n rows). Equal to
-        the union of ``random_extract_detail`` and ``top10_session_detail``."""
-        j = self.job
-        ids = self.sampled.select("session_id").unionByName(self.top10_session.select("session_id"))
-        bound = j.sample_total + j.top_categories * j.top_sessions
-        rows = self.actions.join(broadcast_if_bounded(ids, bound), "session_id", "inner")
-        return sessions.detail_rows(rows, j.task_id)
+        the union of ``random_extract_detail`` and ``top10_session_detail``; with
+        ``distinct_detail`` every listed session's rows once."""
+        ids = self._listed_ids.distinct() if self.job.distinct_detail else self._listed_ids
+        source = self.listed_actions if self._shares else self.actions
+        rows = source.join(broadcast_if_bounded(ids, self._listed_bound), "session_id", "inner")
+        return sessions.detail_rows(rows, self.job.task_id)
 
     def results(self) -> dict[str, DataFrame]:
         """The five result tables."""

@@ -7,9 +7,36 @@ from the documented semantics, not generated from the Spark plans.
 
 from __future__ import annotations
 
-from visitlens.functions.buckets import STEP_BUCKETS, VISIT_BUCKETS
-from visitlens.params import FIELD_NAMES
-from visitlens.plans import queries as Q
+# The tasks' date ranges and session predicates in SQL, written out: nothing is taken from the engine.
+MONTH = "date >= '2024-01-01' AND date <= '2024-01-31'"
+WEEK = "date >= '2024-01-08' AND date <= '2024-01-14'"
+
+
+def _any(values_list: str, wanted: str) -> str:
+    return f"EXISTS (SELECT 1 FROM unnest({values_list}) t(x) WHERE CAST(x AS VARCHAR) IN ({wanted}))"
+
+
+TASKS = {
+    "scan": (WEEK, "TRUE"),
+    "all": (MONTH, "TRUE"),
+    "age": (MONTH, "age BETWEEN 10 AND 50"),
+    "professional": (MONTH, "professional IN ('BUILDING', 'FURNITURE')"),
+    "city": (MONTH, "city IN ('NATION_1', 'NATION_2', 'NATION_10', 'NATION_20')"),
+    "sex": (MONTH, "sex = 'male'"),
+    "keyword": (MONTH, _any("kw_list", "'kw1', 'kw2'")),
+    "category": (MONTH, _any("cat_list", "'1', '2', '3'")),
+    "conjunction": (
+        MONTH,
+        "age BETWEEN 10 AND 50 AND professional IN ('BUILDING', 'FURNITURE', 'MACHINERY') AND sex = 'male' AND "
+        + _any("kw_list", "'kw1', 'kw2', 'kw3', 'kw4', 'kw5'") + " AND "
+        + _any("cat_list", "'1', '2', '3', '4', '5', '6', '7', '8', '9', '10'")),
+    "main": (MONTH, "age BETWEEN 10 AND 50 AND sex = 'male'"),
+}
+
+# Bucket names and inclusive bounds, as documented.
+VISIT_BUCKETS = [("1s_3s", 1, 3), ("4s_6s", 4, 6), ("7s_9s", 7, 9), ("10s_30s", 10, 30), ("30s_60s", 31, 60),
+                 ("1m_3m", 61, 180), ("3m_10m", 181, 600), ("10m_30m", 601, 1800), ("30m", 1801, None)]
+STEP_BUCKETS = [("1_3", 1, 3), ("4_6", 4, 6), ("7_9", 7, 9), ("10_30", 10, 30), ("30_60", 31, 60), ("60", 61, None)]
 
 SPANS = "CASE user_id % 6 WHEN 0 THEN 5 WHEN 1 THEN 11 WHEN 2 THEN 90 WHEN 3 THEN 300 WHEN 4 THEN 1500 ELSE 3600 END"
 
@@ -49,38 +76,12 @@ SESSION_COLUMNS = (
 ENRICHED_COLUMNS = SESSION_COLUMNS + ", age, professional, city, sex"
 
 
-def _quote(values) -> str:
-    return ", ".join("'" + v.replace("'", "''") + "'" for v in values)
-
-
-def _where(p) -> str:
-    """The task's session predicates in SQL."""
-    conds = ["TRUE"]
-    if p.start_age is not None and p.end_age is not None:
-        conds.append(f"age BETWEEN {p.start_age} AND {p.end_age}")
-    if p.professionals is not None:
-        conds.append(f"professional IN ({_quote(p.professionals)})")
-    if p.cities is not None:
-        conds.append(f"city IN ({_quote(p.cities)})")
-    if p.sex is not None:
-        conds.append(f"sex = {_quote([p.sex])}")
-    if p.keywords is not None:
-        conds.append(f"EXISTS (SELECT 1 FROM unnest(kw_list) t(x) WHERE x IN ({_quote(p.keywords)}))")
-    if p.category_ids is not None:
-        conds.append(f"EXISTS (SELECT 1 FROM unnest(cat_list) t(x) WHERE CAST(x AS VARCHAR) IN ({_quote(p.category_ids)}))")
-    return " AND ".join(conds)
-
-
-def base(key: str) -> str:
-    """WITH ... up to ``filtered`` (and the detail actions) for the task ``key``."""
-    p = Q.PARAMS[key]
-    date_conds = ["session_id IS NOT NULL"]
-    if p.start_date:
-        date_conds.append(f"date >= '{p.start_date}'")
-    if p.end_date:
-        date_conds.append(f"date <= '{p.end_date}'")
-    return f"""WITH {ADAPTERS},
-actions AS (SELECT * FROM user_visit_action WHERE {' AND '.join(date_conds)}),
+def base(key: str, period: str = "%Y-%m-%d") -> str:
+    """WITH ... up to ``filtered`` (and the detail actions) for the task ``key``; a session is a user's ``period``."""
+    dates, predicate = TASKS[key]
+    adapters = ADAPTERS.replace("strftime(ts, '%Y-%m-%d') AS session_id", f"strftime(ts, '{period}') AS session_id")
+    return f"""WITH {adapters},
+actions AS (SELECT * FROM user_visit_action WHERE session_id IS NOT NULL AND {dates}),
 session_rows AS (
   SELECT session_id, min(user_id) AS user_id,
     list_sort(list_distinct(list(CASE WHEN search_keyword <> '' THEN search_keyword END))) AS kw_list,
@@ -93,7 +94,7 @@ sessions AS (
   SELECT session_id, user_id, kw_list, cat_list, date_diff('second', start_ts, end_ts) AS visit_length,
     step_length, start_ts FROM session_rows),
 enriched AS (SELECT s.*, u.age, u.professional, u.city, u.sex FROM sessions s JOIN user_info u USING (user_id)),
-filtered AS (SELECT * FROM enriched WHERE {_where(p)}),
+filtered AS (SELECT * FROM enriched WHERE {predicate}),
 detail AS (SELECT * FROM actions WHERE session_id IN (SELECT session_id FROM filtered)),
 cat_events AS (
   SELECT category_id, kind FROM (
@@ -126,19 +127,19 @@ quota AS (
   FROM (
     SELECT date, hour, session_count,
       CAST(sum(session_count) OVER (PARTITION BY date) AS BIGINT) AS day_session_count,
-      CAST({Q.SAMPLE_TOTAL} // (SELECT count(DISTINCT date) FROM hour_counts) AS BIGINT) AS per_day
+      CAST(1000 // (SELECT count(DISTINCT date) FROM hour_counts) AS BIGINT) AS per_day
     FROM hour_counts)),
 sample AS (
   SELECT r.* FROM (
     SELECT f.*, strftime(start_ts, '%Y-%m-%d') AS date, strftime(start_ts, '%H') AS hour,
       row_number() OVER (PARTITION BY strftime(start_ts, '%Y-%m-%d'), strftime(start_ts, '%H')
-                         ORDER BY md5(session_id || ':{Q.SEED}'), session_id) AS pick
+                         ORDER BY md5(session_id || ':42'), session_id) AS pick
     FROM filtered f WHERE start_ts IS NOT NULL) r
   JOIN quota q USING (date, hour) WHERE r.pick <= q.extract_count)
 """
 
 
-TASK = f"CAST({Q.TASK_ID} AS BIGINT) AS task_id"
+TASK = "CAST(1 AS BIGINT) AS task_id"
 
 
 def _filter_sql(key: str) -> str:
@@ -198,12 +199,16 @@ TASK_PARAM_COLUMNS = ", ".join(
     f"TRY_CAST(json_extract_string(task_param, '$.{name}[0]') AS INTEGER) AS {attr}"
     if attr in ("start_age", "end_age")
     else f"json_extract_string(task_param, '$.{name}[0]') AS {attr}"
-    for attr, name in FIELD_NAMES.items()
+    for attr, name in (
+        ("start_date", "startDate"), ("end_date", "endDate"), ("start_age", "startAge"), ("end_age", "endAge"),
+        ("professionals", "professionals"), ("cities", "cities"), ("sex", "sex"), ("keywords", "keywords"),
+        ("category_ids", "categoryIds"))
 )
 
 
 def oracle_sql() -> dict[str, str]:
     main = base("main")
+    month = base("all", "%Y-%m")
     return {
         "action_scan": base("scan") + "SELECT * FROM actions",
         "session_aggregate": base("all") + f"SELECT {SESSION_COLUMNS} FROM sessions",
@@ -221,6 +226,16 @@ def oracle_sql() -> dict[str, str]:
         "session_stat_counts": main + f"SELECT {STAT_COUNTS} FROM filtered",
         "session_aggr_stat": main
         + f", counts AS (SELECT {STAT_COUNTS} FROM filtered) SELECT {TASK}, session_count, {RATIOS} FROM counts",
+        "session_stat_counts_month": month + f"SELECT {STAT_COUNTS} FROM filtered",
+        "session_aggr_stat_month": month
+        + f", counts AS (SELECT {STAT_COUNTS} FROM filtered) SELECT {TASK}, session_count, {RATIOS} FROM counts",
+        "top10_session_month": month + f"SELECT {TASK}, category_id, session_id, click_count FROM top_sessions",
+        "category_list_ids": main
+        + """, pieces AS (
+            SELECT 'order' AS kind, unnest(string_split(order_category_ids, ',')) AS x FROM detail
+            UNION ALL SELECT 'pay', unnest(string_split(pay_category_ids, ',')) FROM detail)
+            SELECT kind, count(*) AS n_ids, count(*) FILTER (TRY_CAST(x AS BIGINT) IS NULL) AS n_dropped
+            FROM pieces GROUP BY kind""",
         "session_detail": main + f"SELECT {TASK}, {DETAIL_COLUMNS} FROM detail",
         "hour_session_counts": main + "SELECT * FROM hour_counts",
         "extract_quota": main + "SELECT * FROM quota",
@@ -260,5 +275,5 @@ def oracle_sql() -> dict[str, str]:
             WHERE label IS NOT NULL GROUP BY label""",
         "word_count": WORD_COUNT,
         "task_params": DAY_TASKS + f"SELECT task_id, {TASK_PARAM_COLUMNS} FROM tasks",
-        "task_lookup": DAY_TASKS + f"SELECT * FROM tasks WHERE task_id = {Q.LOOKUP_TASK_ID}",
+        "task_lookup": DAY_TASKS + f"SELECT * FROM tasks WHERE task_id = 20240108",
     }

@@ -57,9 +57,9 @@ PARAMS: dict[str, TaskParams] = {
 }
 
 
-def plans(spark: SparkSession, data_dir: str, key: str) -> SessionPlans:
+def plans(spark: SparkSession, data_dir: str, key: str, session_per: str = "day") -> SessionPlans:
     job = SessionJob(PARAMS[key], task_id=TASK_ID, sample_total=SAMPLE_TOTAL, seed=SEED)
-    return SessionPlans.from_test_tables(spark, data_dir, job)
+    return SessionPlans.from_test_tables(spark, data_dir, job, session_per)
 
 
 def _filter_query(key: str, predicate) -> Callable[[SparkSession, str], DataFrame]:
@@ -104,6 +104,20 @@ def session_aggr_stat(spark, data_dir):
     return plans(spark, data_dir, "main").aggr_stat
 
 
+def session_stat_counts_month(spark, data_dir):
+    """Sessions of a user and month: long ones, which reach the last step buckets."""
+    return plans(spark, data_dir, "all", "month").stat_counts
+
+
+def session_aggr_stat_month(spark, data_dir):
+    return plans(spark, data_dir, "all", "month").aggr_stat
+
+
+def top10_session_month(spark, data_dir):
+    """Top sessions where a session clicks a category several times, so that ranks rest on counts."""
+    return plans(spark, data_dir, "all", "month").top10_session
+
+
 def session_detail(spark, data_dir):
     return plans(spark, data_dir, "main").session_detail
 
@@ -156,6 +170,11 @@ def session_filter_empty(spark, data_dir):
     return sessions.enriched_output(filters.filter_sessions(plans(spark, data_dir, "main").enriched, form))
 
 
+def category_list_ids(spark, data_dir):
+    """How many listed category ids there are, and how many are dropped as no number."""
+    return categories.list_id_counts(plans(spark, data_dir, "main").detail_actions)
+
+
 def category_counts_joined(spark, data_dir):
     return categories.category_counts_joined(plans(spark, data_dir, "main").detail_actions)
 
@@ -216,6 +235,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "session_filter_all_facts": session_filter_all_facts,
     "session_stat_counts": session_stat_counts,
     "session_aggr_stat": session_aggr_stat,
+    "session_stat_counts_month": session_stat_counts_month,
+    "session_aggr_stat_month": session_aggr_stat_month,
+    "top10_session_month": top10_session_month,
     "session_detail": session_detail,
     "hour_session_counts": hour_session_counts,
     "extract_quota": extract_quota,
@@ -228,6 +250,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "category_counts": category_counts,
     "session_detail_output": session_detail_output,
     "session_filter_empty": session_filter_empty,
+    "category_list_ids": category_list_ids,
     "category_counts_joined": category_counts_joined,
     "top10_category": top10_category,
     "session_category_clicks": session_category_clicks,

@@ -31,9 +31,10 @@ def _iso_day(text: str | None) -> dt.date | None:
 
 
 def adapter_actions(
-    spark: SparkSession, data_dir: str, start_date: str | None = None, end_date: str | None = None
+    spark: SparkSession, data_dir: str, start_date: str | None = None, end_date: str | None = None,
+    session_per: str = "day",
 ) -> DataFrame:
-    """``user_visit_action`` over ``events``.
+    """``user_visit_action`` over ``events``, one session per user and day (or ``month``: long sessions).
 
     When the date bounds are ISO dates they are also applied to the raw ``ts`` column, which is
     what reaches the parquet scan as a pushed filter (row-group skipping); the exact string
@@ -48,13 +49,15 @@ def adapter_actions(
         upper = hi + dt.timedelta(days=1)
         ev = ev.where(F.col("ts") < F.lit(f"{upper.isoformat()} 00:00:00").cast("timestamp_ntz"))
 
-    return ev.selectExpr(*ACTION_COLUMNS)
+    day, period = f"{_DAY}) AS session_id", f"{_PERIODS[session_per]}) AS session_id"
+    return ev.selectExpr(*[c.replace(day, period) for c in ACTION_COLUMNS])
 
 
 # The projection as Spark SQL expressions (one call builds the whole select; the plan is the
 # same as with column objects). `k` is the integer under "k" in the JSON props.
 _K = "try_cast(get_json_object(props, '$.k') AS BIGINT)"
 _DAY = "date_format(ts, 'yyyy-MM-dd')"
+_PERIODS = {"day": _DAY, "month": "date_format(ts, 'yyyy-MM')"}
 _SPAN = "CASE user_id % 6 " + " ".join(f"WHEN {i} THEN {v}" for i, v in enumerate(SPAN_SECONDS[:-1])) + f" ELSE {SPAN_SECONDS[-1]} END"
 _TIME_OF_DAY = "(hour(ts) * 3600 + minute(ts) * 60 + second(ts))"
 # ts moved by (base hour + time of day mod span - time of day) seconds keeps its fraction;
