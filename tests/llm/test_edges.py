@@ -201,3 +201,17 @@ def test_large_clusters_are_compared_in_blocks(spark, monkeypatch):
 ], ids=["encode", "count", "scan", "overlaps", "fingerprints", "next", "shard", "classes", "keep"])
 def test_empty_tables(empty, run):
     assert run(empty).count() == 0
+
+
+def test_spaced_seeds_miss_only_the_documented_stretches():
+    from itertools import combinations
+    from math import ceil
+
+    missed = {}
+    for n in range(decontaminate.SPAN, decontaminate.WINDOW + 1):
+        for k in range(n - ceil(n * decontaminate.SHARE) + 1):
+            for other in combinations(range(n), k):
+                starts = range(n - decontaminate.SPAN + 1)
+                if all(any(p + o in other for o in mask) for mask in decontaminate.MASKS for p in starts):
+                    missed.setdefault(n, []).append(other)
+    assert missed == {8: [(0,), (7,)], 10: [(1, 2), (7, 8)]}

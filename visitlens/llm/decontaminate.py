@@ -4,7 +4,9 @@ Words are runs of letters and digits, lower case. A mask names the offsets of a
 others may differ, so a substitution under a gap keeps the hit. Seeds of the test items and of every document
 position are joined on the hash; around each hit document and item are laid side by side and the hit counts
 when some stretch of ``window`` item words (or the whole item, if shorter) agrees in at least ``share`` of
-its words. That check also removes hash collisions.
+its words. That check also removes hash collisions. The masks miss no such stretch of 9 or of 11 to 13
+words; of 8 words they miss a substitution of the first or last one, of 10 words two neighbouring
+substitutions one word from either end (all placements counted in the tests).
 
 The test side is split into blocks of at most ``max_seeds`` seeds (counted first) and each block is
 broadcast, so documents are never shuffled; hits are verified in the row that found them and only

@@ -65,7 +65,7 @@ def shard(docs: DataFrame, n_shards: int = N_SHARDS, doc: str = "doc_id", text:
     rows = rows.withColumn("range", range_of("key"))
     target = max(1, total // n_ranges)
     full = rows.groupBy("range").agg(F.sum("size").alias("b")).where(F.col("b") > 2 * target).collect()
-    alone = {starts.index(k) + 1 for k in hot}
+    alone = set((np.searchsorted(starts_, np.array(sorted(hot), np.int64)) + 1).tolist())
     spark = docs.sparkSession
     split = spark.createDataFrame([(r["range"], -(-r["b"] // target), r["range"] in alone) for r in full],
                                   "range bigint, parts bigint, alone boolean")
