@@ -4,9 +4,8 @@ Words are runs of letters and digits, lower case. A mask names the offsets of a
 others may differ, so a substitution under a gap keeps the hit. Seeds of the test items and of every document
 position are joined on the hash; around each hit document and item are laid side by side and the hit counts
 when some stretch of ``window`` item words (or the whole item, if shorter) agrees in at least ``share`` of
-its words. That check also removes hash collisions. The masks miss no such stretch of 9 or of 11 to 13
-words; of 8 words they miss a substitution of the first or last one, of 10 words two neighbouring
-substitutions one word from either end (all placements counted in the tests).
+its words. That check also removes hash collisions. With the default window and share the masks miss no such
+stretch of 8 to 13 words, wherever its substitutions stand (all placements counted in the tests).
 
 The test side is split into blocks of at most ``max_seeds`` seeds (counted first) and each block is
 broadcast, so documents are never shuffled; hits are verified in the row that found them and only
@@ -28,7 +27,7 @@ from pyspark.sql import functions as F
 from visitlens.llm.common import body
 from visitlens.sources.tables import read_table, table_path
 
-MASKS = ((0, 1, 3, 6, 7), (0, 2, 3, 5, 7), (0, 1, 4, 5, 7))
+MASKS = ((0, 1, 3, 6, 7), (0, 2, 3, 5, 7), (0, 1, 4, 5, 7), (1, 2, 3, 5, 6))
 SPAN = 8
 WINDOW = 13
 SHARE = 0.8
@@ -92,7 +91,7 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _sql_seeds(table: str, key: str) -> str:
     masks = ", ".join(f"'{k}' || " + " || ".join(f"' ' || w[p + {o + 1}]" for o in mask)
-                      for k, mask in enumerate(((0, 1, 3, 6, 7), (0, 2, 3, 5, 7), (0, 1, 4, 5, 7))))
+                      for k, mask in enumerate(((0, 1, 3, 6, 7), (0, 2, 3, 5, 7), (0, 1, 4, 5, 7), (1, 2, 3, 5, 6))))
     return f"SELECT {key}, p, w, unnest([{masks}]) AS seed FROM (SELECT {key}, w, unnest(range(0, len(w) - 7)) AS p FROM {table})"
 
 
