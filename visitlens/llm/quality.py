@@ -131,8 +131,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", doc: str = "
     for y in (0, 1):
         picked = known.where((F.col("y") == y) & (F.col("f") != FOLDS - 1)).orderBy(draw, "id").limit(FIT_DOCS).select("id")
         texts = rows.join(F.broadcast(picked), F.col("doc") == F.col("id"), "left_semi").where("text <> ''")
-        parts = F.transform(F.sequence(F.lit(0), F.expr(f"(length(text) - 1) div {BLOCK}")),
-                            lambda i: F.substr("text", (i * BLOCK + 1).cast("int"), F.lit(BLOCK)))
+        parts = F.regexp_extract_all("text", F.lit(f"(?s).{{1,{BLOCK}}}"), F.lit(0))  # one pass, however long the text
         blocks = texts.select("doc", F.posexplode(parts).alias("i", "block")).orderBy(F.xxhash64("doc", "i"), "block")
         dictionaries.append(train_dictionary([r[0].encode() for r in blocks.limit(FIT_BLOCKS).select("block").collect()]))
     bad, good = dictionaries
