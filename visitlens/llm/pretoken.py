@@ -137,16 +137,16 @@ class Splitter:
 
         self.tok, self.spaced = Tokenizer.from_file(path), spaced
         self.special = {t.content: i for i, t in self.tok.get_added_tokens_decoder().items()}
+        self.marks = re.compile("|".join(map(re.escape, sorted(self.special, key=len, reverse=True))))
 
     def _pieces(self, text: str) -> list[str | int]:
-        """The text with every special string replaced by its id (leftmost first)."""
+        """The text with every special string replaced by its id (leftmost first, then longest)."""
         out: list[str | int] = []
-        rest = text
-        while found := [(rest.index(s), s) for s in self.special if s in rest]:
-            i, s = min(found)
-            out += [rest[:i], self.special[s]]
-            rest = rest[i + len(s):]
-        return [*out, rest]
+        at = 0
+        for mark in self.marks.finditer(text):
+            out += [text[at:mark.start()], self.special[mark.group()]]
+            at = mark.end()
+        return [*out, text[at:]]
 
     def _slow(self, text: str) -> list[bytes]:
         if self.tok.normalizer is not None:
