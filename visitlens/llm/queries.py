@@ -11,13 +11,15 @@ from visitlens.llm.order_minhash import op5_order_minhash
 from visitlens.llm.quality import op4_compression_quality
 from visitlens.llm.secrets import op2_secret_scan
 from visitlens.llm.sharding import op8_sharding
+from visitlens.llm.token_align import op13_token_align
 from visitlens.llm.token_count import op7_token_count
 from visitlens.llm.toxicity import op3_toxicity_chain
 
 QUERIES = {
     f.__name__: f
     for f in (op1_lexicon_bpe, op2_secret_scan, op3_toxicity_chain, op4_compression_quality, op5_order_minhash,
-              op6_decontaminate, op7_token_count, op8_sharding, op9_chat_format, op10_jaccard_join)
+              op6_decontaminate, op7_token_count, op8_sharding, op9_chat_format, op10_jaccard_join,
+              op13_token_align)
 }
 
 ORACLE = {
