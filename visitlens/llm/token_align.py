@@ -23,6 +23,7 @@ import uuid
 import zlib
 from collections.abc import Callable, Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -41,7 +42,6 @@ BLOCK_BYTES = 8 << 20
 LANE = 256  # A tokens of a lane
 WIDE = 1 << 12  # pairs of a group beyond which they are counted by id instead of one by one
 REMEMBERED = 300_000
-DIGITS = 11  # an id of up to 10 digits and its separator
 
 
 class Vocabulary:
@@ -54,7 +54,8 @@ class Vocabulary:
         self.flat = np.frombuffer(b"".join(entries), np.uint8)
         shown = [str(i).encode() for i in range(self.size)]
         self.shown_lens = np.fromiter(map(len, shown), np.int64, self.size)
-        self.shown = np.frombuffer(b"".join(s.ljust(DIGITS, b",") for s in shown), np.uint8).reshape(-1, DIGITS)
+        self.digits = int(self.shown_lens.max(initial=0)) + 1  # an id and its separator
+        self.shown = np.frombuffer(b"".join(s.ljust(self.digits, b",") for s in shown), np.uint8).reshape(self.size, -1)
 
     def join(self, ids: np.ndarray, lens: np.ndarray) -> np.ndarray:
         """The bytes of all tokens of ``ids`` in a row."""
@@ -63,78 +64,97 @@ class Vocabulary:
         return self.flat[at]
 
 
+class Words:
+    """Token ids of words; remembers those of about the last chunks, within a fixed number."""
+
+    def __init__(self, encode: Callable[[list[bytes]], list[list[int]]]):
+        self.encode, self.known, self.older = encode, {}, {}
+
+    def spread(self, words: list[bytes], codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the words at all places in a row, and the number of ids at each place."""
+        new = [w for w in words if w not in self.known and w not in self.older]
+        fresh = dict(zip(new, self.encode(new), strict=True)) if new else {}
+        ids = [self.known.get(w) or self.older.get(w) or fresh[w] for w in words]
+        if len(self.known) > REMEMBERED:
+            self.known, self.older = {}, self.known
+        self.known.update((w, i) for w, i in zip(words, ids, strict=True) if len(w) <= 64)
+        lens = np.fromiter(map(len, ids), np.int64, len(ids))
+        flat = np.fromiter(chain.from_iterable(ids), np.int64, int(lens.sum()))
+        n = lens[codes]
+        ends = np.cumsum(n)
+        at = np.arange(ends[-1] if len(ends) else 0) + np.repeat((np.cumsum(lens) - lens)[codes] - (ends - n), n)
+        return flat[at], n
+
+
 class ByteLevel:
-    """A: a byte-level vocabulary; special strings are plain text. A word's ids are kept between chunks."""
+    """A: a byte-level vocabulary; special strings are plain text."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer, pre_tokenizers
 
         with open(path, encoding="utf-8") as f:
-            model = json.load(f)
-        entries = [b""] * (max(model["model"]["vocab"].values(), default=-1) + 1)
-        for token, i in model["model"]["vocab"].items():
+            vocab = json.load(f)["model"]["vocab"]
+        entries = [b""] * (max(vocab.values(), default=-1) + 1)
+        for token, i in vocab.items():
             entries[i] = to_bytes(token)
         self.vocabulary = Vocabulary(entries)
         self.splitter = Splitter(path, True)
         self.splitter.special = {}
-        self.tok = Tokenizer.from_file(path)
-        self.tok.encode_special_tokens = True
-        self.tok.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-        self.tok.no_truncation()
-        self.tok.no_padding()
-        self.known: dict[bytes, list[int]] = {}
-        self.whole = Tokenizer.from_file(path)
-        self.whole.encode_special_tokens = True
-        self.whole.no_truncation()
-        self.whole.no_padding()
-
-    def _words(self, words: list[bytes]) -> list[list[int]]:
-        new = [w for w in words if w not in self.known]
-        out = dict(zip(new, (e.ids for e in self.tok.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)), strict=True))
-        if len(self.known) + len(new) > REMEMBERED:
-            out |= {w: self.known[w] for w in words if w in self.known}
-            self.known = {}
-        found = [out[w] if w in out else self.known[w] for w in words]
-        if len(self.known) + len(new) <= REMEMBERED:
-            self.known |= {w: ids for w, ids in out.items() if len(w) <= 64}
-        return found
+        tok = Tokenizer.from_file(path)
+        tok.encode_special_tokens = True
+        tok.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        tok.no_truncation()
+        tok.no_padding()
+        self.words = Words(lambda new: [e.ids for e in tok.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)])
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, and the number of ids of each."""
         words, codes, per_text = self.splitter.split([" " + t for t in texts])
-        spelled = words.to_pylist()
-        try:
-            ids = self._words(spelled)
-        except UnicodeDecodeError:  # a word that is no whole characters: the library cuts the texts itself
-            each = [e.ids for e in self.whole.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
-            return np.array([i for e in each for i in e], np.int64), np.fromiter(map(len, each), np.int64, len(each))
-        lens = np.fromiter(map(len, ids), np.int64, len(ids))
-        flat = np.fromiter((i for w in ids for i in w), np.int64, int(lens.sum()))
-        n = lens[codes]
-        ends = np.cumsum(n)
-        at = np.arange(ends[-1] if len(ends) else 0) + np.repeat((np.cumsum(lens) - lens)[codes] - (ends - n), n)
-        total = np.concatenate(([0], ends))
-        text_ends = np.concatenate(([0], np.cumsum(per_text)))
-        return flat[at], total[text_ends[1:]] - total[text_ends[:-1]]
+        ids, n = self.words.spread(words.to_pylist(), codes)
+        total = np.concatenate(([0], np.cumsum(n)))
+        ends = np.concatenate(([0], np.cumsum(per_text)))
+        return ids, total[ends[1:]] - total[ends[:-1]]
 
 
 class Pieces:
-    """B: a vocabulary of pieces with byte fallback; the library adds the blank before the text itself."""
+    """B: a vocabulary of pieces with byte fallback; the library adds the blank before the text itself.
+
+    Where no piece has a blank after another character, no merge crosses the place before a run of blanks, so the runs
+    with the word that follows are cut apart and encoded once each. Otherwise whole texts are encoded.
+    """
 
     def __init__(self, path: str):
         import sentencepiece
 
         self.model = sentencepiece.SentencePieceProcessor(model_file=path)
-        entries = []
-        for i in range(self.model.get_piece_size()):
-            piece = self.model.id_to_piece(i)
-            entries.append(bytes([int(piece[3:5], 16)]) if self.model.is_byte(i) else piece.replace("▁", " ").encode())
-        self.vocabulary = Vocabulary(entries)
+        pieces = [self.model.id_to_piece(i) for i in range(self.model.get_piece_size())]
+        self.vocabulary = Vocabulary([bytes([int(p[3:5], 16)]) if self.model.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)])
+        probe = "a  ﬁ Ａ e\u0301 ½\tx\r\n "
+        plain = self.model.normalize(probe) == "▁" + probe.replace(" ", "▁")
+        self.by_word = plain and "▁" in pieces and not any("▁" in p.lstrip("▁") for p in pieces)
+        self.words = Words(self._encode_words)
+
+    def _encode_words(self, words: list[bytes]) -> list[list[int]]:
+        """Words with their blanks; the library adds the first one itself, but not to an empty text."""
+        ids = self.model.encode([w[1:].decode() for w in words], num_threads=1)
+        return [i or [self.model.piece_to_id("▁")] for i in ids]
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        each = self.model.encode(texts, num_threads=1) if texts else []
-        lens = np.fromiter(map(len, each), np.int64, len(each))
-        return np.fromiter((i for e in each for i in e), np.int64, int(lens.sum())), lens
+        """Ids of all texts (none of them empty) in a row, and the number of ids of each."""
+        if not self.by_word:
+            each = self.model.encode(texts, num_threads=1) if texts else []
+            lens = np.fromiter(map(len, each), np.int64, len(each))
+            return np.fromiter(chain.from_iterable(each), np.int64, int(lens.sum())), lens
+        raw, sizes = _raw(texts)
+        start = raw == 0x20
+        start[1:] &= raw[:-1] != 0x20
+        first = np.cumsum(sizes) - sizes
+        start[first] = True
+        begin = np.flatnonzero(start)
+        offsets = pa.py_buffer(np.append(begin, len(raw)).astype(np.int32))
+        coded = pa.Array.from_buffers(pa.binary(), len(begin), [None, offsets, pa.py_buffer(raw)]).dictionary_encode()
+        ids, n = self.words.spread(coded.dictionary.to_pylist(), coded.indices.to_numpy(zero_copy_only=False).astype(np.int64))
+        return ids, np.add.reduceat(n, np.searchsorted(begin, first)) if len(first) else first
 
 
 @lru_cache(maxsize=4)
@@ -191,7 +211,7 @@ def align(a_ids, b_ids, ends_a, ends_b, n_a, lane: int = LANE):
     tangled = (in_a > 1) & (in_b > 1)
     times = np.ones(len(la), np.int64)
     if tangled.any():
-        keep = ~tangled[np.searchsorted(cut_a, la)]
+        keep = ~np.repeat(tangled, in_a)[la]
         la, lb, times = la[keep], lb[keep], times[keep]
     ids_a, ids_b = a_ids[la], b_ids[lb]
     more = []
@@ -217,12 +237,13 @@ def group_texts(a: Vocabulary, b: Vocabulary, a_ids, b_ids, cut_a, cut_b, in_a,
     of_a, of_b = np.repeat(np.arange(len(cut_a)), in_a), np.repeat(np.arange(len(cut_b)), in_b)
     at_a = np.arange(len(a_ids)) + (cut_b - in_b + 1)[of_a]
     at_b = np.arange(len(b_ids)) + (cut_a + 1)[of_b]
-    table, lens = np.empty((n, DIGITS), np.uint8), np.empty(n, np.int64)
-    table[at_a], table[at_b] = a.shown[a_ids], b.shown[b_ids]
+    width = max(a.digits, b.digits)
+    table, lens = np.empty((n, width), np.uint8), np.empty(n, np.int64)
+    table[at_a, : a.digits], table[at_b, : b.digits] = a.shown[a_ids], b.shown[b_ids]
     lens[at_a], lens[at_b] = a.shown_lens[a_ids], b.shown_lens[b_ids]
     table[at_a[cut_a], lens[at_a[cut_a]]] = ord("|")
     table[at_b[cut_b], lens[at_b[cut_b]]] = ord(";")
-    flat = table[np.arange(DIGITS) <= lens[:, None]]
+    flat = table[np.arange(width) <= lens[:, None]]
     return flat, np.cumsum(lens + 1)[at_b[cut_b]]
 
 
@@ -272,7 +293,7 @@ def align_texts(a: ByteLevel | Pieces, b: ByteLevel | Pieces, texts: list[str],
     for k, end in zip(use.tolist(), ends[last].tolist(), strict=True):
         digests[k] = hashlib.sha256(shown[begin : end - 1]).hexdigest()
         begin = end
-    return out, digests, (use[np.searchsorted(np.cumsum(n_a), place, "right")], la, lb, times)
+    return out, digests, (np.repeat(use, n_a)[place], la, lb, times)
 
 
 def _packed(x: np.ndarray, kind: str) -> bytes:
