@@ -22,7 +22,7 @@ def table(name):
 @pytest.mark.parametrize("name", sorted(queries.ORACLE))
 def test_oracle(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "benchmark", "conversations", "labels"):
+    for t in ("documents", "benchmark", "conversations", "labels", "embeddings"):
         con.sql(f"CREATE VIEW {t} AS SELECT * FROM '{SMALL}/{t}.parquet'")
     got, want = queries.QUERIES[name](spark, SMALL).toPandas(), con.sql(queries.ORACLE[name]).df()
     assert sorted(got.columns) == sorted(want.columns)
