@@ -26,6 +26,7 @@ from functools import lru_cache
 from itertools import chain
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
@@ -41,7 +42,7 @@ CHUNK_BYTES = 1 << 20
 BLOCK_BYTES = 8 << 20
 LANE = 256  # A tokens of a lane
 WIDE = 1 << 12  # pairs of a group beyond which they are counted by id instead of one by one
-REMEMBERED = 300_000
+REMEMBERED = 400_000
 
 
 class Vocabulary:
@@ -64,26 +65,45 @@ class Vocabulary:
         return self.flat[at]
 
 
+class _Known(dict):
+    """Numbers of words; an unknown word has -1."""
+
+    def __missing__(self, word: bytes) -> int:
+        return -1
+
+
 class Words:
-    """Token ids of words; remembers those of about the last chunks, within a fixed number."""
+    """Token ids of words, remembered between chunks up to a fixed number of words."""
 
     def __init__(self, encode: Callable[[list[bytes]], list[list[int]]]):
-        self.encode, self.known, self.older = encode, {}, {}
+        self.encode = encode
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known = _Known()
+        self.lens, self.first, self.flat = (np.zeros(0, np.int64) for _ in range(3))
 
     def spread(self, words: list[bytes], codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the words at all places in a row, and the number of ids at each place."""
-        new = [w for w in words if w not in self.known and w not in self.older]
-        fresh = dict(zip(new, self.encode(new), strict=True)) if new else {}
-        ids = [self.known.get(w) or self.older.get(w) or fresh[w] for w in words]
-        if len(self.known) > REMEMBERED:
-            self.known, self.older = {}, self.known
-        self.known.update((w, i) for w, i in zip(words, ids, strict=True) if len(w) <= 64)
-        lens = np.fromiter(map(len, ids), np.int64, len(ids))
-        flat = np.fromiter(chain.from_iterable(ids), np.int64, int(lens.sum()))
-        n = lens[codes]
+        number = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
+        new = np.flatnonzero(number < 0)
+        if len(new):
+            spelled = [words[k] for k in new.tolist()]
+            ids = self.encode(spelled)
+            lens = np.fromiter(map(len, ids), np.int64, len(ids))
+            number[new] = range(len(self.lens), len(self.lens) + len(new))
+            self.first = np.concatenate([self.first, len(self.flat) + np.cumsum(lens) - lens])
+            self.flat = np.concatenate([self.flat, np.fromiter(chain.from_iterable(ids), np.int64, int(lens.sum()))])
+            self.lens = np.concatenate([self.lens, lens])
+            self.known.update((w, k) for w, k in zip(spelled, number[new].tolist(), strict=True) if len(w) <= 64)
+        number = number[codes]
+        n = self.lens[number]
         ends = np.cumsum(n)
-        at = np.arange(ends[-1] if len(ends) else 0) + np.repeat((np.cumsum(lens) - lens)[codes] - (ends - n), n)
-        return flat[at], n
+        at = np.arange(ends[-1] if len(ends) else 0) + np.repeat(self.first[number] - (ends - n), n)
+        out = self.flat[at]
+        if len(self.lens) > REMEMBERED or len(self.flat) > 8 * REMEMBERED:
+            self._forget()
+        return out, n
 
 
 class ByteLevel:
@@ -296,6 +316,32 @@ def align_texts(a: ByteLevel | Pieces, b: ByteLevel | Pieces, texts: list[str],
     return out, digests, (np.repeat(use, n_a)[place], la, lb, times)
 
 
+def distinct_links(doc: np.ndarray, pair: np.ndarray, times: np.ndarray):
+    """(doc, code, times) of each document's distinct pairs, by document and pair, and the pairs that the codes number."""
+    pairs, code = np.unique(pair, return_inverse=True) if len(pair) < 1 << 12 else _numbered(pair)
+    key = doc << 32 | code
+    if len(times) and times.max() > 1:
+        order = np.argsort(key)
+        key, times = key[order], times[order]
+        starts = np.flatnonzero(np.diff(key, prepend=-1))
+        times = np.add.reduceat(times, starts)
+    else:
+        key = np.sort(key)
+        starts = np.flatnonzero(np.diff(key, prepend=-1))
+        times = np.diff(starts, append=len(key))
+    key = key[starts]
+    return (key >> 32).astype(np.int32), (key & 0xFFFFFFFF).astype(np.int32), times, pairs
+
+
+def _numbered(pair: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Like ``np.unique`` with the inverse, by hashing: there are far fewer different pairs than links."""
+    code, pairs = pd.factorize(pair)
+    order = np.argsort(pairs)
+    place = np.empty(len(order), np.int64)
+    place[order] = np.arange(len(order))
+    return pairs[order], place[code]
+
+
 def _packed(x: np.ndarray, kind: str) -> bytes:
     return zlib.compress(x.astype(kind).tobytes(), 1)
 
@@ -310,21 +356,12 @@ def _blocks(a_path: str, b_path: str, doc_type: pa.DataType, block_bytes: int) -
     def one(number: int, ids: list, parts: list) -> pa.RecordBatch:
         figures = np.concatenate([p[0] for p in parts], axis=1)
         digests = [d for p in parts for d in p[1]]
-        sizes = [p[0].shape[1] for p in parts]
-        base = np.cumsum(sizes) - sizes
-        doc, a, b, times = (np.concatenate(x) for x in zip(*[(p[2][0] + k, *p[2][1:]) for p, k in zip(parts, base, strict=True)], strict=True))
-        width = encoder(b_path).vocabulary.size
-        pairs, code = np.unique(a * width + b, return_inverse=True)
-        key = doc << 32 | code
-        order = np.argsort(key)
-        key, times = key[order], times[order]
-        starts = np.flatnonzero(np.diff(key, prepend=-1))
-        times = np.add.reduceat(times, starts) if len(starts) else times
-        key = key[starts]
-        doc, code = key >> 32, key & 0xFFFFFFFF
-        n = np.bincount(doc, minlength=len(ids))
-        step = np.diff(code, prepend=0)
-        step[(np.cumsum(n) - n)[n > 0]] = code[(np.cumsum(n) - n)[n > 0]]  # each document counts from 0
+        pairs = np.unique(np.concatenate([p[2][3] for p in parts]))
+        code = np.concatenate([np.searchsorted(pairs, p[2][3])[p[2][1]] for p in parts])
+        n = np.concatenate([np.bincount(p[2][0], minlength=len(p[1])) for p in parts])
+        times = np.concatenate([p[2][2] for p in parts])
+        step, first = np.diff(code, prepend=0), (np.cumsum(n) - n)[n > 0]
+        step[first] = code[first]  # each document counts from 0
         holds = np.bincount(code, minlength=len(pairs))
         columns = [pa.array([number], pa.int64()), pa.array([ids], pa.list_(doc_type)), *(pa.array([f], pa.list_(pa.int64())) for f in figures),
                    pa.array([digests], pa.list_(pa.string())), pa.array([n], pa.list_(pa.int64())), pa.array([_packed(step, "<u4")], pa.binary()),
@@ -333,6 +370,7 @@ def _blocks(a_path: str, b_path: str, doc_type: pa.DataType, block_bytes: int) -
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a, b = encoder(a_path), encoder(b_path)
+        width = b.vocabulary.size
         number, size, ids, parts = TaskContext.get().partitionId() << 32, 0, [], []
         for batch in batches:
             whole = batch.column("text")
@@ -342,7 +380,8 @@ def _blocks(a_path: str, b_path: str, doc_type: pa.DataType, block_bytes: int) -
                 if parts and size + more > block_bytes:
                     yield one(number, ids, parts)
                     number, size, ids, parts = number + 1, 0, [], []
-                parts.append(align_texts(a, b, texts))
+                figures, digests, (doc, id_a, id_b, times) = align_texts(a, b, texts)
+                parts.append((figures, digests, distinct_links(doc, id_a * width + id_b, times)))
                 ids += batch.column("doc_id").slice(start, end - start).to_pylist()
                 size += more
         if parts:
