@@ -45,6 +45,7 @@ SUBSPACES = 16
 CODES = 256
 HOMES, VISITS = 2048, 16384  # rows of a block
 EXACT = 2048
+SPREAD, SPREAD_ROWS = 8, 128  # a list is dealt to as many as 8 blocks a side while they hold 128 rows
 SLACK = 1e-3  # single precision against the bounds
 
 
@@ -165,7 +166,8 @@ def _blocked(homes: DataFrame, visits: DataFrame, home_rows: int, visit_rows: in
     """Both sides of every list with blocks of bounded rows: each home block meets each visiting block."""
     key = ["grp", "list"]
     size = homes.groupBy(key).agg(F.count(F.lit(1)).alias("h")).join(visits.groupBy(key).agg(F.count(F.lit(1)).alias("v")), key)
-    size = size.select(*key, F.ceil(F.col("h") / home_rows).alias("hs"), F.ceil(F.col("v") / visit_rows).alias("vs"))
+    blocks = lambda n, rows: F.greatest(F.ceil(F.col(n) / rows), F.least(F.lit(SPREAD), F.ceil(F.col(n) / min(rows, SPREAD_ROWS))))
+    size = size.select(*key, blocks("h", home_rows).alias("hs"), blocks("v", visit_rows).alias("vs"))
     every = lambda n: F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(n) - 1))
     mine = lambda n: F.pmod(F.xxhash64("node"), F.col(n))
     homes = homes.join(size, key).select("*", mine("hs").alias("hb"), every("vs").alias("vb")).drop("hs", "vs")
