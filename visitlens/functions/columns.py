@@ -14,9 +14,13 @@ def parse_action_time(col: Column) -> Column:
     """Wall-clock parse of ``yyyy-MM-dd H:mm:ss`` (fields padded or not); NULL on any other text.
 
     A fraction of the second is not read, so differences of parsed times are whole seconds. The cast to
-    timestamp_ntz is zone-free.
+    timestamp_ntz is zone-free. Text in the padded form without a fraction is cast as it is; the pattern, three times
+    as dear, is only matched on the rest. That the seconds are two digits is checked there because a cast would read
+    a letter or sign at their place as a time zone.
     """
-    return F.regexp_extract(col, ACTION_TIME, 1).try_cast("timestamp_ntz")
+    digit = lambda k: F.substring(col, k, 1).between("0", "9")
+    padded = col.like("____-__-__ __:__:__") & digit(1) & digit(18) & digit(19)
+    return F.when(padded, col).otherwise(F.regexp_extract(col, ACTION_TIME, 1)).try_cast("timestamp_ntz")
 
 
 def format_time(col: Column) -> Column:

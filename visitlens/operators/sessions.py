@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from visitlens.functions import format_time, ids_to_csv, parse_action_time, strings_to_csv
+from visitlens.operators.prefilter import bloom_words, might_contain
 from visitlens.plans.physical import broadcast_if_bounded
 from visitlens.schemas import SESSION_DETAIL_COLUMNS
 
@@ -48,13 +49,21 @@ def aggregate_sessions(actions: DataFrame) -> DataFrame:
     sorted (empty keywords ignored); start_time / end: min / max parsed action time; visit_length:
     whole seconds between them; step_length: number of actions.
 
-    Every aggregate here is partial-aggregated map-side (min/max/count/collect_set), so a session
-    that holds a large share of all rows reaches the final aggregate as one partial row per map
-    task, and the sets are bounded by distinct keywords / categories, not by rows. The sets make
-    this an object aggregate (sort-based once a task holds many sessions); the job itself uses
-    ``aggregate_session_facts`` and reads lists only for the sessions it outputs.
+    Two steps. First one row for each session, keyword and category: a code-generated hash aggregate
+    that can spill, with partial results map-side, shuffled on all three, so the distinct keywords of
+    a hot session are counted off on many tasks. Then the sets: what is collected holds every value
+    about once, so a session with n distinct values needs the memory of that one output row, in
+    whatever number of actions they occur. The job itself uses ``aggregate_session_facts`` and
+    reads lists only for the sessions it outputs.
     """
-    grouped = _session_inputs(actions).groupBy("session_id").agg(*_scalar_aggregates(), *_set_aggregates())
+    values = _session_inputs(actions).groupBy("session_id", "search_keyword", "click_category_id").agg(*_scalar_aggregates())
+    grouped = values.groupBy("session_id").agg(
+        F.min("user_id").alias("user_id"),
+        F.min("start_time").alias("start_time"),
+        F.max("end_time").alias("end_time"),
+        F.sum("step_length").alias("step_length"),
+        *_set_aggregates(),
+    )
     return grouped.select(
         "session_id", "user_id", "search_keywords", "click_category_ids", _visit_length(), "step_length", "start_time"
     )
@@ -126,13 +135,33 @@ def enriched_output(enriched: DataFrame) -> DataFrame:
     return session_output(enriched, USER_ATTRIBUTES)
 
 
-def actions_of_sessions(actions: DataFrame, sessions: DataFrame) -> DataFrame:
+# Ids pushed to a scan at most: a Parquet predicate of that many alternatives.
+MAX_PUSHED_IDS = 2000
+
+
+def actions_of_ids(actions: DataFrame, ids: list[str]) -> DataFrame:
+    """Action rows of the listed sessions (at most ``MAX_PUSHED_IDS``), as a filter that reaches the scan.
+
+    On a table whose files are sorted by session the reader then skips the row groups and pages that hold none
+    of the ids. Parquet gets the single ids up to ``spark.sql.parquet.pushdown.inFilterThreshold`` of them (a job
+    raises it while it runs) and only their range beyond.
+    """
+    if len(ids) > MAX_PUSHED_IDS:
+        raise ValueError(f"{len(ids)} ids; at most {MAX_PUSHED_IDS} are pushed to a scan")
+    return actions.where(F.col("session_id").isin(sorted(set(ids))))
+
+
+def actions_of_sessions(actions: DataFrame, sessions: DataFrame, prefilter_words: int | None = None) -> DataFrame:
     """Action rows whose session is in ``sessions`` (left semi join on session_id).
 
     Equal to the inner join that keeps only the action side, because session_id is unique on the
     session side. AQE broadcasts the session side only when measured small; otherwise a
-    sort-merge semi join whose skewed action partitions AQE splits.
+    sort-merge semi join whose skewed action partitions AQE splits. With ``prefilter_words`` a Bloom
+    filter of the sessions (a broadcast table of at most so many rows) drops most other actions
+    before that shuffle.
     """
+    if prefilter_words:
+        actions = might_contain(actions, bloom_words(sessions, prefilter_words), prefilter_words)
     return actions.join(sessions.select("session_id"), "session_id", "left_semi")
 
 

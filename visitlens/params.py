@@ -8,6 +8,7 @@ The driver only ever holds this small object; all data stays in Spark.
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, fields
 
@@ -27,6 +28,31 @@ MULTI_VALUED = ("professionals", "cities", "keywords", "category_ids")
 INTEGER_VALUED = ("start_age", "end_age")
 
 
+# The rule that both forms of a task's parameters follow (here, and ``sources.task.checked_task_params`` for many tasks
+# at once): a missing or empty document, a field that is no array, an empty array, null or empty text select
+# nothing; a document that is no JSON object (or has a name twice) and an age that is no whole number of 32 bits are errors; a list is its
+# comma-separated pieces without empty ones at the end, so "," lists nothing and matches nothing.
+WHOLE_NUMBER = r"^\s*[+-]?[0-9]+\s*$"
+NOT_AN_OBJECT = "document: not a JSON object"
+
+
+def whole_number(text: str) -> int | None:
+    """A whole number of 32 bits, or None."""
+    value = int(text) if re.match(WHOLE_NUMBER, text, re.ASCII) else None
+    return value if value is not None and -(2**31) <= value < 2**31 else None
+
+
+def _object(pairs: list[tuple[str, object]]) -> dict[str, object]:
+    out = dict(pairs)
+    if len(out) < len(pairs):
+        raise ValueError("a name twice")
+    return out
+
+
+def _no_number(text: str) -> None:
+    raise ValueError(text)
+
+
 def split_csv(text: str) -> tuple[str, ...]:
     """Split on commas keeping inner empty pieces and dropping trailing ones."""
     parts = text.split(",")
@@ -41,7 +67,7 @@ def first_element(value: object) -> str | None:
         if not value or value[0] is None:
             return None
         head = value[0]
-        return head if isinstance(head, str) else json.dumps(head, separators=(",", ":"))
+        return str(head) if isinstance(head, str) else json.dumps(head, separators=(",", ":"))
     return None
 
 
@@ -59,13 +85,19 @@ class TaskParams:
 
     @classmethod
     def from_json(cls, text: str | None) -> TaskParams:
-        """Parse a task parameter document (array fields, element 0 only)."""
+        """Parse a task parameter document (array fields, element 0 only). Errors raise ValueError, all of them named."""
         if not text:
             return cls()
-        doc = json.loads(text)
+        try:
+            doc = json.loads(text, object_pairs_hook=_object, parse_constant=_no_number)
+        except ValueError:
+            doc = None
         if not isinstance(doc, Mapping):
-            raise ValueError("task parameters must be a JSON object")
+            raise ValueError(NOT_AN_OBJECT)
         raw = {attr: first_element(doc.get(name)) for attr, name in FIELD_NAMES.items()}
+        errors = [f"{FIELD_NAMES[a]}: not a whole number" for a in INTEGER_VALUED if raw[a] and whole_number(raw[a]) is None]
+        if errors:
+            raise ValueError("; ".join(errors))
         return cls.from_values(raw)
 
     @classmethod
@@ -83,7 +115,10 @@ class TaskParams:
                 elif isinstance(value, Sequence):
                     value = tuple(str(v) for v in value)
             elif attr in INTEGER_VALUED:
-                value = int(str(value).strip())
+                number = whole_number(str(value))
+                if number is None:
+                    raise ValueError(f"{FIELD_NAMES[attr]}: not a whole number")
+                value = number
             else:
                 value = str(value)
             kwargs[attr] = value

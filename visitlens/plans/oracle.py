@@ -206,10 +206,80 @@ TASK_PARAM_COLUMNS = ", ".join(
 )
 
 
+ODD_TASKS = DAY_TASKS.rstrip() + """,
+odd AS (
+  SELECT task_id, CASE task_id % 100 % 8
+    WHEN 1 THEN replace(task_param, '"10"', '"abc"')
+    WHEN 2 THEN replace(task_param, '"10"', '10.0')
+    WHEN 3 THEN substr(task_param, 1, 30)
+    WHEN 4 THEN substr(task_param, 1, length(task_param) - 1)
+      || ', "cities": [","], "keywords": ["a,,b,,"], "professionals": [""]}'
+    WHEN 5 THEN '[' || task_param || ']'
+    WHEN 6 THEN ''
+    WHEN 7 THEN replace(task_param, '"50"', '" +50 "')
+    ELSE task_param END AS text
+  FROM tasks),
+typed AS (
+  SELECT task_id, text <> '' AND NOT coalesce(json_valid(text) AND starts_with(ltrim(text), '{'), FALSE) AS no_object,
+    CASE WHEN json_valid(text) AND starts_with(ltrim(text), '{') THEN text ELSE '{}' END AS doc
+  FROM odd),
+fields AS (
+  SELECT task_id, no_object,
+    nullif(json_extract_string(doc, '$.startDate[0]'), '') AS start_date, nullif(json_extract_string(doc, '$.endDate[0]'), '') AS end_date,
+    nullif(json_extract_string(doc, '$.startAge[0]'), '') AS low, nullif(json_extract_string(doc, '$.endAge[0]'), '') AS high,
+    nullif(json_extract_string(doc, '$.sex[0]'), '') AS sex,
+    nullif(json_extract_string(doc, '$.professionals[0]'), '') AS professionals, nullif(json_extract_string(doc, '$.cities[0]'), '') AS cities,
+    nullif(json_extract_string(doc, '$.keywords[0]'), '') AS keywords, nullif(json_extract_string(doc, '$.categoryIds[0]'), '') AS category_ids
+  FROM typed),
+faults AS (
+  SELECT *, concat_ws('|', CASE WHEN no_object THEN 'document: not a JSON object' END,
+    CASE WHEN low IS NOT NULL AND NOT regexp_matches(low, '^ *[+-]?[0-9]+ *$') THEN 'startAge: not a whole number' END,
+    CASE WHEN high IS NOT NULL AND NOT regexp_matches(high, '^ *[+-]?[0-9]+ *$') THEN 'endAge: not a whole number' END) AS errors
+  FROM fields)
+SELECT task_id, errors,
+  CASE WHEN errors = '' THEN start_date END AS start_date, CASE WHEN errors = '' THEN end_date END AS end_date,
+  CASE WHEN errors = '' THEN TRY_CAST(replace(trim(low), '+', '') AS INTEGER) END AS start_age,
+  CASE WHEN errors = '' THEN TRY_CAST(replace(trim(high), '+', '') AS INTEGER) END AS end_age,
+  CASE WHEN errors = '' THEN sex END AS sex,
+  CASE WHEN errors = '' THEN replace(rtrim(professionals, ','), ',', '|') END AS professionals,
+  CASE WHEN errors = '' THEN replace(rtrim(cities, ','), ',', '|') END AS cities,
+  CASE WHEN errors = '' THEN replace(rtrim(keywords, ','), ',', '|') END AS keywords,
+  CASE WHEN errors = '' THEN replace(rtrim(category_ids, ','), ',', '|') END AS category_ids
+FROM faults
+"""
+
+TSV_LINES = """
+WITH ev AS (
+  SELECT event_id AS n, CASE WHEN event_id % 83 = 5 THEN 'x' || event_id ELSE CAST(event_id AS VARCHAR) END AS a,
+    CASE WHEN event_type = 'error' THEN 'null' ELSE event_type END AS b, coalesce(CAST(user_id AS VARCHAR), 'null') AS c
+  FROM events),
+parts AS (
+  SELECT a, b, CASE WHEN n % 97 = 3 THEN NULL WHEN n % 89 = 4 THEN c WHEN n % 79 = 6 THEN 'n/a' ELSE c END AS c,
+    CASE WHEN n % 97 = 3 THEN 2 WHEN n % 89 = 4 THEN 4 ELSE 3 END AS size
+  FROM ev),
+parsed AS (
+  SELECT TRY_CAST(nullif(a, 'null') AS INTEGER) AS id, nullif(b, 'null') AS name, TRY_CAST(nullif(c, 'null') AS BIGINT) AS year,
+    a || chr(9) || b || CASE size WHEN 2 THEN '' WHEN 3 THEN chr(9) || c ELSE chr(9) || c || chr(9) END AS line,
+    CASE WHEN size <> 3 THEN size || ' of 3 fields' WHEN a <> 'null' AND TRY_CAST(a AS INTEGER) IS NULL THEN 'id: no valid int'
+      WHEN c <> 'null' AND TRY_CAST(c AS BIGINT) IS NULL THEN 'year: no valid bigint' END AS error
+  FROM parts)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     main = base("main")
     month = base("all", "%Y-%m")
+    detail_output = main + f"""SELECT {TASK}, {DETAIL_COLUMNS} FROM actions WHERE session_id IN (SELECT session_id FROM sample)
+            UNION ALL SELECT {TASK}, {DETAIL_COLUMNS} FROM top_sessions t JOIN detail d USING (session_id)"""
     return {
+        "session_detail_prefiltered": main + f"SELECT {TASK}, {DETAIL_COLUMNS} FROM detail",
+        "category_counts_prefiltered": main + "SELECT * FROM category_counts",
+        "session_detail_output_pushed": detail_output,
+        "session_aggregate_bucketed": base("all") + f"SELECT {SESSION_COLUMNS} FROM sessions",
+        "category_counts_bucketed": main + "SELECT * FROM category_counts",
+        "task_params_checked": ODD_TASKS,
+        "tsv_rows": TSV_LINES + "SELECT id, name, year, CASE WHEN error IS NOT NULL THEN line END AS malformed_line, error FROM parsed",
+        "tsv_malformed": TSV_LINES + "SELECT error, count(*) AS n_lines FROM parsed WHERE error IS NOT NULL GROUP BY error",
         "action_scan": base("scan") + "SELECT * FROM actions",
         "session_aggregate": base("all") + f"SELECT {SESSION_COLUMNS} FROM sessions",
         "session_enriched": base("all") + f"SELECT {ENRICHED_COLUMNS} FROM enriched",

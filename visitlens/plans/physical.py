@@ -21,6 +21,24 @@ def broadcast_if_bounded(df: DataFrame, row_bound: int | None, max_rows: int = M
     return df
 
 
+class Settings:
+    """Session settings that hold until ``restore``; what the caller had set before is put back."""
+
+    def __init__(self, spark: SparkSession, values: dict[str, str]):
+        self.spark = spark
+        self.before = {name: spark.conf.get(name, None) for name in values}
+        for name, value in values.items():
+            spark.conf.set(name, value)
+
+    def restore(self) -> None:
+        for name, value in self.before.items():
+            if value is None:
+                self.spark.conf.unset(name)
+            else:
+                self.spark.conf.set(name, value)
+        self.before = {}
+
+
 def materialize(df: DataFrame, mode: str = "persist", path: str | None = None) -> DataFrame:
     """Materialise a DataFrame read by several branches.
 

@@ -6,6 +6,7 @@ operators on all of their rows. The parameters are fixed here and mirrored in ``
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,8 +17,12 @@ from visitlens.functions import format_time
 from visitlens.operators import categories, filters, sessions, stats, topsessions, wordcount
 from visitlens.params import TaskParams
 from visitlens.plans.job import SessionJob, SessionPlans
-from visitlens.sources import read_table
-from visitlens.sources.task import day_tasks, find_task, parse_task_params
+from visitlens.session import checkpoint_dir
+from visitlens.sinks import write_bucketed_actions
+from visitlens.sources import adapter_actions, adapter_users, read_table
+from visitlens.sources.adapters import event_lines
+from visitlens.sources.task import checked_task_params, day_tasks, find_task, odd_day_tasks, parse_task_params
+from visitlens.sources.text import malformed_counts, parse_tsv
 
 # Fixed query parameters (mirrored by the oracle SQL).
 TASK_ID = 1
@@ -57,9 +62,17 @@ PARAMS: dict[str, TaskParams] = {
 }
 
 
-def plans(spark: SparkSession, data_dir: str, key: str, session_per: str = "day") -> SessionPlans:
+def plans(spark: SparkSession, data_dir: str, key: str, session_per: str = "day", **kw) -> SessionPlans:
     job = SessionJob(PARAMS[key], task_id=TASK_ID, sample_total=SAMPLE_TOTAL, seed=SEED)
-    return SessionPlans.from_test_tables(spark, data_dir, job, session_per)
+    return SessionPlans.from_test_tables(spark, data_dir, job, session_per, **kw)
+
+
+def bucketed_plans(spark: SparkSession, data_dir: str, key: str) -> SessionPlans:
+    """Plans over the actions written in 16 buckets by session; a session of more than 8 actions counts as hot."""
+    name = f"actions_{uuid.uuid4().hex}"
+    write_bucketed_actions(adapter_actions(spark, data_dir), name, 16, f"{checkpoint_dir(spark)}/{name}", hot_rows=8)
+    job = SessionJob(PARAMS[key], task_id=TASK_ID, sample_total=SAMPLE_TOTAL, seed=SEED)
+    return SessionPlans.from_bucketed(spark, name, adapter_users(spark, data_dir), job)
 
 
 def _filter_query(key: str, predicate) -> Callable[[SparkSession, str], DataFrame]:
@@ -122,6 +135,29 @@ def session_detail(spark, data_dir):
     return plans(spark, data_dir, "main").session_detail
 
 
+def session_detail_prefiltered(spark, data_dir):
+    """J2 with a Bloom filter of the filtered sessions before the actions are shuffled."""
+    return plans(spark, data_dir, "main", prefilter=True).session_detail
+
+
+def category_counts_prefiltered(spark, data_dir):
+    return plans(spark, data_dir, "main", prefilter=True).category_counts
+
+
+def session_detail_output_pushed(spark, data_dir):
+    """The job's ``session_detail`` table, its sessions' ids pushed to the scan."""
+    return plans(spark, data_dir, "main", push_ids=True).session_detail_output
+
+
+def session_aggregate_bucketed(spark, data_dir):
+    """A1 over an action table in buckets by session, hot sessions apart."""
+    return sessions.session_output(bucketed_plans(spark, data_dir, "all").sessions)
+
+
+def category_counts_bucketed(spark, data_dir):
+    return bucketed_plans(spark, data_dir, "main").category_counts
+
+
 def hour_session_counts(spark, data_dir):
     return plans(spark, data_dir, "main").hour_counts
 
@@ -217,6 +253,22 @@ def task_params(spark, data_dir):
     return parse_task_params(day_tasks(spark, data_dir))
 
 
+def task_params_checked(spark, data_dir):
+    """Task documents as users get them wrong: typed parameters (lists joined by |) and what is wrong."""
+    rows = checked_task_params(odd_day_tasks(spark, data_dir))
+    joined = [F.array_join(c, "|").alias(c) if kind.startswith("array") else F.col(c) for c, kind in rows.dtypes]
+    return rows.select(*joined)
+
+
+def tsv_rows(spark, data_dir):
+    """Events as tab-separated lines, some malformed, read back."""
+    return parse_tsv(event_lines(spark, data_dir))
+
+
+def tsv_malformed(spark, data_dir):
+    return malformed_counts(parse_tsv(event_lines(spark, data_dir)))
+
+
 def task_lookup(spark, data_dir):
     return find_task(day_tasks(spark, data_dir), LOOKUP_TASK_ID)
 
@@ -262,4 +314,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "word_count": word_count,
     "task_params": task_params,
     "task_lookup": task_lookup,
+    "session_detail_prefiltered": session_detail_prefiltered,
+    "category_counts_prefiltered": category_counts_prefiltered,
+    "session_detail_output_pushed": session_detail_output_pushed,
+    "session_aggregate_bucketed": session_aggregate_bucketed,
+    "category_counts_bucketed": category_counts_bucketed,
+    "task_params_checked": task_params_checked,
+    "tsv_rows": tsv_rows,
+    "tsv_malformed": tsv_malformed,
 }

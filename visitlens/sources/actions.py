@@ -36,3 +36,9 @@ def catalog_actions(spark: SparkSession, table: str = "user_visit_action") -> Da
 
 def catalog_users(spark: SparkSession, table: str = "user_info") -> DataFrame:
     return spark.table(table)
+
+
+def bucketed_actions(spark: SparkSession, table: str) -> tuple[DataFrame, DataFrame]:
+    """The two parts of an action table written by ``sinks.write_bucketed_actions``: the sessions in buckets, and the
+    hot sessions. No session is in both."""
+    return spark.table(table), spark.table(f"{table}_hot")

@@ -80,6 +80,18 @@ ACTION_COLUMNS = [
 ]
 
 
+def event_lines(spark: SparkSession, data_dir: str) -> DataFrame:
+    """``events`` as tab-separated lines of id, type and user (column ``line``), every type ``error`` written as null
+    and some lines short, long or with text for a number. Test-data plumbing."""
+    ev = read_table(spark, data_dir, "events").selectExpr(
+        "event_id", "CASE WHEN event_type = 'error' THEN 'null' ELSE event_type END AS kind", "coalesce(cast(user_id as string), 'null') AS user")
+    ident = "CASE WHEN event_id % 83 = 5 THEN concat('x', event_id) ELSE cast(event_id as string) END"
+    return ev.selectExpr(f"""CASE WHEN event_id % 97 = 3 THEN concat_ws('\t', {ident}, kind)
+        WHEN event_id % 89 = 4 THEN concat_ws('\t', {ident}, kind, user, '')
+        WHEN event_id % 79 = 6 THEN concat_ws('\t', {ident}, kind, 'n/a')
+        ELSE concat_ws('\t', {ident}, kind, user) END AS line""")
+
+
 def adapter_users(spark: SparkSession, data_dir: str) -> DataFrame:
     """``user_info`` over ``customer`` joined to ``nation`` (city = nation name).
 

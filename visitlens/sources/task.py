@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from visitlens.params import FIELD_NAMES, TaskParams
+from visitlens.params import FIELD_NAMES, INTEGER_VALUED, MULTI_VALUED, NOT_AN_OBJECT, WHOLE_NUMBER, TaskParams
 from visitlens.sources.tables import read_table
 
 TASK_COLUMNS = [
@@ -58,6 +58,40 @@ def parse_task_params(tasks: DataFrame) -> DataFrame:
     return tasks.select("task_id", doc.alias("doc")).select("task_id", *cols)
 
 
+def _pieces(value: Column) -> Column:
+    """A comma list's pieces without empty ones at the end; NULL stays NULL."""
+    held = F.regexp_replace(value, ",+$", "")
+    none = F.array().cast("array<string>")
+    return F.when(held == "", F.when(value.isNotNull(), none)).otherwise(F.split(held, ","))
+
+
+def checked_task_params(tasks: DataFrame) -> DataFrame:
+    """F10 with its errors, for many tasks at once: task_id, a column for each parameter (ages as int, lists as
+    array<string>) and ``errors``, an empty list where the document is in order. The rule is that of
+    ``TaskParams.from_json``; where that raises, ``errors`` holds the same messages and every parameter is NULL.
+    """
+    text = F.col("task_param")
+    # Strict JSON, as a whole. The variant parser stops after the first document, so the text is read inside brackets
+    # and inside an object: only a single whole document stands in both.
+    listed = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
+    named = F.try_parse_json(F.concat(F.lit('{"document":'), text, F.lit(',"end":0}')))
+    single = F.try_variant_get(listed, "$[1]", "variant").isNull() & F.try_variant_get(named, "$.end", "int").isNotNull()
+    is_object = F.schema_of_variant(listed).startswith("ARRAY<OBJECT<") & single
+    doc = F.from_json(F.when(is_object, text), PARAM_DOC, {"allowSingleQuotes": "false"})
+    rows = tasks.select("task_id", doc.alias("doc"), (F.coalesce(text, F.lit("")) != "").alias("given"), F.coalesce(is_object, F.lit(False)).alias("ok"))
+    rows = rows.select("task_id", "given", "ok", *[_first(F.col("doc"), name).alias(attr) for attr, name in FIELD_NAMES.items()])
+    number = lambda c: F.when(F.col(c).rlike(WHOLE_NUMBER), F.trim(c).try_cast("int"))
+    errors = [F.when(F.col("given") & ~F.col("ok"), NOT_AN_OBJECT)]
+    errors += [F.when(F.col(a).isNotNull() & number(a).isNull(), f"{FIELD_NAMES[a]}: not a whole number") for a in INTEGER_VALUED]
+    rows = rows.withColumn("errors", F.array_compact(F.array(*errors)))
+    good = F.size("errors") == 0
+    cols = []
+    for attr in FIELD_NAMES:
+        value = number(attr) if attr in INTEGER_VALUED else _pieces(F.col(attr)) if attr in MULTI_VALUED else F.col(attr)
+        cols.append(F.when(good, value).alias(attr))
+    return rows.select("task_id", *cols, "errors")
+
+
 def load_task_params(tasks: DataFrame, task_id: int) -> TaskParams:
     """Parameters of one task for building the job's plan; an unknown or ambiguous id is an error, not a
     job over everything."""
@@ -67,6 +101,24 @@ def load_task_params(tasks: DataFrame, task_id: int) -> TaskParams:
     return TaskParams.from_json(rows[0]["task_param"])
 
 
+def odd_day_tasks(spark: SparkSession, data_dir: str) -> DataFrame:
+    """``day_tasks`` with documents as users get them wrong, by the day of the month. Test-data plumbing."""
+    tasks = day_tasks(spark, data_dir)
+    day = (F.col("task_id") % 100).cast("int")
+    as_given = F.col("task_param")
+    odd = (
+        F.when(day % 8 == 1, F.regexp_replace(as_given, '"10"', '"abc"'))
+        .when(day % 8 == 2, F.regexp_replace(as_given, '"10"', "10.0"))
+        .when(day % 8 == 3, F.substring(as_given, 1, 30))
+        .when(day % 8 == 4, F.regexp_replace(as_given, "}$", ', "cities": [","], "keywords": ["a,,b,,"], "professionals": [""]}'))
+        .when(day % 8 == 5, F.concat(F.lit("["), as_given, F.lit("]")))
+        .when(day % 8 == 6, F.lit(""))
+        .when(day % 8 == 7, F.regexp_replace(as_given, '"50"', '" +50 "'))
+        .otherwise(as_given)
+    )
+    return tasks.withColumn("task_param", odd)
+
+
 def day_tasks(spark: SparkSession, data_dir: str) -> DataFrame:
     """A task table derived from the test data: one task per calendar day of ``events``, asking
     for that day's sessions of one sex (alternating) aged 10-50. Test-data plumbing, like the
