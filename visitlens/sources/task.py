@@ -83,7 +83,7 @@ def checked_task_params(tasks: DataFrame) -> DataFrame:
     number = lambda c: F.when(F.col(c).rlike(WHOLE_NUMBER), F.trim(c).try_cast("int"))
     errors = [F.when(F.col("given") & ~F.col("ok"), NOT_AN_OBJECT)]
     errors += [F.when(F.col(a).isNotNull() & number(a).isNull(), f"{FIELD_NAMES[a]}: not a whole number") for a in INTEGER_VALUED]
-    rows = rows.withColumn("errors", F.array_compact(F.array(*errors)))
+    rows = rows.withColumn("errors", F.array_except(F.array(*errors), F.array(F.lit(None).cast("string"))))
     good = F.size("errors") == 0
     cols = []
     for attr in FIELD_NAMES:
