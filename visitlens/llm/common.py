@@ -19,6 +19,17 @@ def body(text: str = "text") -> Column:
     return F.coalesce(F.col(text).cast("string"), F.lit(""))
 
 
+def numbered(df: DataFrame) -> DataFrame:
+    """The columns as c0, c1, ...: names that no operator uses itself, so that none of the user's is lost or ambiguous.
+    ``toDF(*names)`` on a result with the same columns gives the names back."""
+    return df.toDF(*[f"c{k}" for k in range(len(df.columns))])
+
+
+def number_of(df: DataFrame, column: str) -> str:
+    """What ``numbered`` calls ``column``."""
+    return f"c{df.columns.index(column)}"
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Eager checkpoint in the shared folder: lineage ends here and a lost executor recomputes nothing above."""
     checkpoint_dir(df.sparkSession)

@@ -162,11 +162,12 @@ def _index(model, reach: float) -> Callable:
     return work
 
 
-def _blocked(homes: DataFrame, visits: DataFrame, home_rows: int, visit_rows: int) -> tuple[DataFrame, DataFrame]:
-    """Both sides of every list with blocks of bounded rows: each home block meets each visiting block."""
+def _blocked(homes: DataFrame, visits: DataFrame, home_rows: int, visit_rows: int, spread: int = 1) -> tuple[DataFrame, DataFrame]:
+    """Both sides of every list with blocks of bounded rows: each home block meets each visiting block. A list that needs
+    fewer than ``spread`` blocks of these sizes is dealt to up to ``spread`` smaller ones, for more even tasks."""
     key = ["grp", "list"]
     size = homes.groupBy(key).agg(F.count(F.lit(1)).alias("h")).join(visits.groupBy(key).agg(F.count(F.lit(1)).alias("v")), key)
-    blocks = lambda n, rows: F.greatest(F.ceil(F.col(n) / rows), F.least(F.lit(SPREAD), F.ceil(F.col(n) / min(rows, SPREAD_ROWS))))
+    blocks = lambda n, rows: F.greatest(F.ceil(F.col(n) / rows), F.least(F.lit(spread), F.ceil(F.col(n) / min(rows, SPREAD_ROWS))))
     size = size.select(*key, blocks("h", home_rows).alias("hs"), blocks("v", visit_rows).alias("vs"))
     every = lambda n: F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(n) - 1))
     mine = lambda n: F.pmod(F.xxhash64("node"), F.col(n))
@@ -295,7 +296,7 @@ def near_vectors(vectors: DataFrame, ident: str = "vec_id", vector: str = "embed
 
     held = index.select("grp", "node", "vector", "copies")
     stay, visit = (held.join(kept.where("is_home" if side else "not is_home").select("node", "list"), "node") for side in (True, False))
-    found = written(_joined(*_blocked(stay, visit, exact, exact), _rerank(width, least), "a bigint, b bigint, links bigint"), "found")
+    found = written(_joined(*_blocked(stay, visit, exact, exact, SPREAD), _rerank(width, least), "a bigint, b bigint, links bigint"), "found")
 
     links = found.where("a = b").groupBy(F.col("a").alias("node")).agg(F.sum("links").alias("links"))
     parts = components(found.where("a <> b").select("a", "b")).select(F.col("id").alias("node"), F.col("label").alias("part"))
