@@ -21,19 +21,21 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from visitlens.llm.common import body, cut, small
+from visitlens.llm.common import body, cut, number_of, numbered, small
 from visitlens.plans.physical import MAX_BROADCAST_ROWS
 from visitlens.sources.tables import read_table
 
 
 @dataclass(frozen=True)
 class Rule:
-    """``group``/``least``: a match counts when that group has at least ``least`` characters."""
+    """``group``/``least``: a match counts when that group has at least ``least`` characters. ``tail``: the span is
+    that group, which ends the match; what stands before it is only looked at."""
 
     kind: str
     regex: str
     group: int = 0
     least: int = 1
+    tail: bool = False
 
 
 BASE = (
@@ -46,7 +48,8 @@ MORE = (
     Rule("github", r"gh[pousr]_[A-Za-z0-9]{36,}"),
     Rule("slack", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
     Rule("google", r"AIza[A-Za-z0-9_-]{35,}"),
-    Rule("jwt", r"eyJ[A-Za-z0-9_-]{10,}\.eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]+"),
+    # Only at the start of a run: otherwise every eyJ inside a long run would read the rest of the run again.
+    Rule("jwt", r"(?:^|[^A-Za-z0-9_-])(eyJ[A-Za-z0-9_-]{10,}\.eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]+)", 1, 1, True),
     Rule("pem", r"-----BEGIN [A-Z ]*PRIVATE KEY-----"),
 )
 RULES = BASE + MORE
@@ -129,7 +132,7 @@ def _spans(k: int, rule: Rule) -> Column:
         lambda s, x: F.struct(
             (s["at"] + x["g"] + F.coalesce(F.length(x["m"]), F.lit(0))).alias("at"),
             F.when(F.length(x["v"]) >= rule.least, F.array_append(s["found"], F.struct(
-                (s["at"] + x["g"]).alias("start"), F.lit(k).alias("kind"),
+                (s["at"] + x["g"] + (F.length(x["m"]) - F.length(x["v"]) if rule.tail else F.lit(0))).alias("start"), F.lit(k).alias("kind"),
                 (s["at"] + x["g"] + F.length(x["m"])).alias("end")))).otherwise(s["found"]).alias("found")),
         lambda s: s["found"],
     )
@@ -166,8 +169,10 @@ def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES, doc: str = "doc_id",
 
 def redact(docs: DataFrame, text: str = "text", mark: str = "[SECRET]", **options) -> DataFrame:
     """``docs`` with every span of ``scan`` replaced by ``mark`` (overlapping spans share one mark)."""
-    columns = docs.columns
-    found = scan(docs, text=text, **options)
+    columns, doc = docs.columns, options.pop("doc", "doc_id")
+    doc, clean_text = (number_of(docs, c) for c in (doc, text))
+    names, text = numbered(docs).columns, clean_text
+    found = scan(numbered(docs), doc=doc, text=text, **options)
     pieces = F.aggregate(
         "spans", F.struct(F.lit(0).alias("at"), F.lit("").alias("out")),
         lambda s, x: F.struct(
@@ -178,7 +183,7 @@ def redact(docs: DataFrame, text: str = "text", mark: str = "[SECRET]", **option
         lambda s: F.concat(s["out"], F.substr(F.col(text), s["at"] + 1)),
     )
     clean = F.when(F.size("spans") > 0, pieces).otherwise(F.col(text))
-    return found.select(*[clean.alias(text) if c == text else F.col(f"`{c}`") for c in columns])
+    return found.select(*[clean.alias(c) if c == text else F.col(c) for c in names]).toDF(*columns)
 
 
 def _written(spans: Column, rules: tuple[Rule, ...]) -> Column:
@@ -196,14 +201,14 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(_written(base, RULES), 256).alias("base_sha256"), _written(F.col("spans"), RULES).alias("spans"))
 
 
-def _sql_rule(k: int, regex: str, group: int, least: int) -> str:
+def _sql_rule(k: int, regex: str, group: int, least: int, tail: bool = False) -> str:
     """Spans of one rule in DuckDB SQL: match i starts behind the gaps up to i and the matches before it."""
     quoted = regex.replace("'", "''")
     return f"""
   SELECT doc_id, text, {k} AS k, unnest(list_filter(list_transform(range(1, len(m) + 1), lambda i: {{
       's': list_sum(list_transform(g[1:i], lambda x: length(x)))
-           + coalesce(list_sum(list_transform(m[1:i - 1], lambda x: length(x))), 0),
-      'n': length(m[i]), 'v': length(v[i])}}), lambda x: x.v >= {least})) AS x
+           + coalesce(list_sum(list_transform(m[1:i - 1], lambda x: length(x))), 0){" + length(m[i]) - length(v[i])" if tail else ""},
+      'n': length({"v" if tail else "m"}[i]), 'v': length(v[i])}}), lambda x: x.v >= {least})) AS x
   FROM (SELECT doc_id, text, regexp_extract_all(text, '{quoted}') AS m,
                regexp_extract_all(text, '{quoted}', {group}) AS v, regexp_split_to_array(text, '{quoted}') AS g FROM d)"""
 
@@ -215,7 +220,7 @@ _SQL_RULES = (
     ("github", r"gh[pousr]_[A-Za-z0-9]{36,}", 0, 1),
     ("slack", r"xox[abprs]-[A-Za-z0-9-]{10,}", 0, 1),
     ("google", r"AIza[A-Za-z0-9_-]{35,}", 0, 1),
-    ("jwt", r"eyJ[A-Za-z0-9_-]{10,}\.eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]+", 0, 1),
+    ("jwt", r"(?:^|[^A-Za-z0-9_-])(eyJ[A-Za-z0-9_-]{10,}\.eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]+)", 1, 1, True),
     ("pem", r"-----BEGIN [A-Z ]*PRIVATE KEY-----", 0, 1),
 )
 ORACLE = f"""
