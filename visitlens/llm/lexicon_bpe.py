@@ -4,7 +4,8 @@ The words of all documents are counted; the most frequent (at most ``LEXICON_WOR
 into a minimal acyclic automaton in which words share prefixes and suffixes. Every arc carries an output; the sum
 of outputs along a word is its ordinal, which addresses the word's ids in the same file. The file is shipped
 with ``SparkContext.addFile`` and memory-mapped by the Python workers, so workers of one machine share it.
-Words that the automaton does not accept are merged exactly: many at a time in numpy up to ``LONG`` bytes, on
+Words of more than ``WORD_BYTES`` bytes are not looked up: an unbroken string of any length neither grows the file nor is
+walked byte by byte. Words that the automaton does not accept are merged exactly: many at a time in numpy up to ``LONG`` bytes, on
 a heap and a linked list beyond. The lexicon decides speed only, never results.
 
 Decoding follows a tokenizer file without a decoder: the tokens' strings joined by a blank.
@@ -24,6 +25,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,11 +36,13 @@ from visitlens.llm.pretoken import chunks
 from visitlens.sources.tables import read_table
 
 LEXICON_WORDS = 100_000
+WORD_BYTES = 64  # longer words are in no lexicon, so it holds at most LEXICON_WORDS * WORD_BYTES bytes of words
 LONG = 48
 
 
 def word_counts(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
-    """(word as bytes, count) over all whole texts; counted per chunk before the shuffle."""
+    """(word as bytes, count) of all words of up to ``WORD_BYTES`` over all whole texts; counted per chunk before the
+    shuffle."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         splitter = load(path, False)[1]
@@ -46,7 +50,8 @@ def word_counts(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
             for _, _, texts in chunks(batch.column(0)):
                 words, codes, _ = splitter.split(texts)
                 n = np.bincount(codes[codes >= 0], minlength=len(words))
-                yield pa.RecordBatch.from_arrays([words, pa.array(n, pa.int64())], ["word", "n"])
+                counted = pa.RecordBatch.from_arrays([words, pa.array(n, pa.int64())], ["word", "n"])
+                yield counted.filter(pc.less_equal(pc.binary_length(words), WORD_BYTES))
 
     part = docs.select(body(text).alias("text")).mapInArrow(work, "word binary, n bigint")
     return part.groupBy("word").agg(F.sum("n").alias("n"))
@@ -156,7 +161,7 @@ class Lexicon:
     def find(self, data: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
         """The ordinal of each word, -1 where the automaton does not accept it."""
         found = np.full(len(start), -1, np.int64)
-        live = np.flatnonzero(size > 0) if len(self.keys) else np.zeros(0, np.int64)
+        live = np.flatnonzero((size > 0) & (size <= WORD_BYTES)) if len(self.keys) else np.zeros(0, np.int64)
         state = np.zeros(len(live), np.int64)
         total = np.zeros(len(live), np.int64)
         step = 0
