@@ -11,8 +11,11 @@ The test side is split into blocks of at most ``max_seeds`` seeds (counted first
 broadcast, so documents are never shuffled; hits are verified in the row that found them and only
 (document, item) sums are exchanged.
 
-Defined cases: null or empty texts have no words and no result; items shorter than a mask (8 words) have no
-seed and are not searched; documents shorter than the stretch cannot hold it; repeated rows of one id add up;
+Items shorter than a mask (1 to 7 words) have no spaced seed: their seed is the hash of the whole item, joined with the
+hashes of the documents' runs of just these lengths, and found where all words agree. Where no item is that short
+(counted first) nothing is done for them.
+
+Defined cases: null or empty texts have no words and no result; documents shorter than the stretch cannot hold it; repeated rows of one id add up;
 equal items are reported each; a null doc_id is reported as null; an empty table on either side gives no
 rows; further columns are not looked at.
 """
@@ -45,18 +48,35 @@ def seeds(df: DataFrame, keep: list[str]) -> DataFrame:
     return at.select(*keep, "w", "pos", F.explode(F.array(*hashes)).alias("seed"))
 
 
+def short_overlaps(docs: DataFrame, test: DataFrame, lengths: list[int]) -> DataFrame:
+    """(doc_id, item_id, pos, last) for each place where a document holds a whole item of one of ``lengths`` words."""
+    run = lambda at, n: F.xxhash64(F.lit(-n), *[F.get("w", at + o) for o in range(n)])
+    zero = F.lit(0)
+    item = F.coalesce(*[F.when(F.size("w") == n, run(zero, n)) for n in lengths])
+    keyed = test.where(F.size("w").isin(lengths)).select("item_id", F.col("w").alias("iw"), item.alias("seed"))
+    at = docs.select("doc_id", "w", F.posexplode("w").alias("pos", "_word"))
+    runs = F.array(*[F.when(F.col("pos") + n <= F.size("w"), run(F.col("pos"), n)) for n in lengths])
+    hit = at.select("doc_id", "w", "pos", F.explode(runs).alias("seed")).join(F.broadcast(keyed), "seed")
+    last = F.col("pos") + F.size("iw") - 1
+    return hit.where(F.slice("w", F.col("pos") + 1, F.size("iw")) == F.col("iw")).select("doc_id", "item_id", "pos", last.alias("last"))
+
+
 def overlaps(docs: DataFrame, items: DataFrame, doc: str = "doc_id", item: str = "item_id", text: str = "text",
              window: int = WINDOW, share: float = SHARE, max_seeds: int = MAX_SEEDS) -> DataFrame:
     """(doc_id, item_id, n_hits, first_word, last_word) for each document that holds a stretch of an item."""
     reach = window - 1
     test = items.select(F.col(item).alias("item_id"), words(text).alias("w"))
-    n_seeds = test.select(F.sum(F.greatest(F.size("w") - SPAN + 1, F.lit(0)) * len(MASKS))).first()[0] or 0
-    n_blocks = max(1, -(-int(n_seeds) // max_seeds))
+    size = F.size("w")
+    n_seeds, *n_short = test.select(F.sum(F.greatest(size - SPAN + 1, F.lit(0)) * len(MASKS)),
+                                    *[F.count_if(size == n) for n in range(1, SPAN)]).first()
+    n_blocks = max(1, -(-int(n_seeds or 0) // max_seeds))
+    lengths = [n for n in range(1, SPAN) if n_short[n - 1]]
+    plain, text_words = test, docs.select(F.col(doc).alias("doc_id"), words(text).alias("w"))
     low = F.greatest(F.col("pos") - reach, F.lit(0))
     test = seeds(test, ["item_id"]).select(
         "item_id", "seed", F.least(F.size("w"), F.lit(window)).alias("need_n"), (F.col("pos") - low).alias("back"),
         F.slice("w", low + 1, F.col("pos") - low + SPAN + reach).alias("iw"))
-    every = seeds(docs.select(F.col(doc).alias("doc_id"), words(text).alias("w")), ["doc_id"])
+    every = seeds(text_words, ["doc_id"])
 
     # Lay both sides along the same words: cut what one side lacks before and behind the hit.
     cut_front = F.greatest(F.col("back") - F.col("pos"), F.lit(0))
@@ -73,14 +93,20 @@ def overlaps(docs: DataFrame, items: DataFrame, doc: str = "doc_id", item: str =
         laid = hit.select("doc_id", "item_id", "pos", "need_n", "iw", cut_front.alias("cut"), side.alias("side"))
         flags = laid.select("doc_id", "item_id", "pos", "need_n", same.alias("same"))
         ok = F.when(F.size("same") >= F.col("need_n"), agrees).otherwise(F.lit(False))
-        return flags.select("doc_id", "item_id", F.when(ok, F.col("pos")).alias("pos"))
+        place = F.when(ok, F.col("pos"))
+        return flags.select("doc_id", "item_id", place.alias("pos"), (place + SPAN - 1).alias("last"))
 
     # The check is counted, not filtered on: as a filter it would move into the join's condition, where its
     # lambdas end code generation and every position is copied out with its document's words.
-    found = reduce(DataFrame.unionAll, [block(b) for b in range(n_blocks)])
+    parts = [block(b) for b in range(n_blocks)]
+    if lengths:
+        n_blocks_short = max(1, -(-sum(n_short) // max_seeds))
+        of = F.pmod(F.xxhash64("item_id", "w"), F.lit(n_blocks_short))
+        parts += [short_overlaps(text_words, plain.where(of == b), lengths) for b in range(n_blocks_short)]
+    found = reduce(DataFrame.unionAll, parts)
     return found.groupBy("doc_id", "item_id").agg(
         F.count("pos").alias("n_hits"), F.min("pos").cast("long").alias("first_word"),
-        (F.max("pos") + SPAN - 1).cast("long").alias("last_word")).where("n_hits > 0")
+        F.max("last").cast("long").alias("last_word")).where("n_hits > 0")
 
 
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -104,9 +130,15 @@ h AS (
   SELECT doc_id, item_id, ds.p AS p, least(len(bs.w), 13) AS n,
     list_transform(range(greatest(-12, -bs.p, -ds.p), least(20, len(bs.w) - bs.p, len(ds.w) - ds.p)),
                    lambda o: (ds.w[ds.p + o + 1] = bs.w[bs.p + o + 1])::INT) AS f
-  FROM ds JOIN bs USING (seed))
-SELECT doc_id, item_id, count(*)::BIGINT AS n_hits, min(p)::BIGINT AS first_word, (max(p) + 7)::BIGINT AS last_word
-FROM h WHERE len(f) >= n AND len(list_filter(range(1, len(f) - n + 2),
-  lambda s: list_sum(f[s:s + n - 1]) >= ceil(n * 0.8))) > 0
-GROUP BY doc_id, item_id
+  FROM ds JOIN bs USING (seed)),
+lengths AS (SELECT DISTINCT len(w) AS n FROM iw WHERE len(w) BETWEEN 1 AND 7),
+runs AS (SELECT doc_id, w, n, unnest(range(0, len(w) - n + 1)) AS p FROM dw JOIN lengths ON n <= len(w)),
+found AS (
+  SELECT doc_id, item_id, p, p + 7 AS last FROM h WHERE len(f) >= n AND len(list_filter(range(1, len(f) - n + 2),
+    lambda s: list_sum(f[s:s + n - 1]) >= ceil(n * 0.8))) > 0
+  UNION ALL
+  SELECT doc_id, item_id, p, p + n - 1 FROM (SELECT doc_id, n, p, array_to_string(w[p + 1:p + n], ' ') AS t FROM runs) r
+  JOIN (SELECT item_id, len(w) AS k, array_to_string(w, ' ') AS u FROM iw WHERE len(w) BETWEEN 1 AND 7) i ON i.u = r.t AND i.k = r.n)
+SELECT doc_id, item_id, count(*)::BIGINT AS n_hits, min(p)::BIGINT AS first_word, max(last)::BIGINT AS last_word
+FROM found GROUP BY doc_id, item_id
 """
