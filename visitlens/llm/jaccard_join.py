@@ -7,8 +7,9 @@ full depth. Texts that share a node are candidates; they are gathered into candi
 node's first member, never as pairs, and all pairs of a cluster are compared exactly, in blocks. A link of
 similarity J is met at depth k with probability 1 - (1 - J**k)**TREES, so the links found give an estimate
 of the links missed; if found / (found + missed) is below the target the matched prefixes are shortened to the
-depth that the estimate asks for, and the join runs again. At full depth a link at the threshold is met with
-probability 0.998 at least.
+depth that the estimate asks for, and the join runs again, until it is met or the prefixes are ``LEAST_DEPTH`` long,
+where an estimate below ``LEAST_RECALL`` is an error. A link at the threshold is met with probability 0.994 at
+full depth, 0.9986 one digit shorter, 0.99999 at the least depth.
 
 Equal texts are one text class and only its first document is compared. A large cluster is cut into blocks of
 about ``BLOCK_TEXTS`` texts or ``BLOCK_WORDS`` words and every pair of blocks is a task of its own, so no
@@ -22,13 +23,14 @@ named by its least id that is not null. An empty table gives no rows; further co
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from visitlens.llm.common import body, cut, ship_package, small
+from visitlens.llm.common import body, cut, number_of, numbered, ship_package, small
 from visitlens.llm.components import components
 from visitlens.llm.pretoken import chunks
 from visitlens.sources.tables import read_table
@@ -36,9 +38,10 @@ from visitlens.sources.tables import read_table
 N = 5
 THRESHOLD = (4, 5)  # similarity 0.8, as a ratio so that the test is exact
 TREES = 28
-DEPTH = 7  # at most 8: a path is a long
+DEPTH = 8  # at most 8: a path is a long
 LEAST_DEPTH = 4
 TARGET = 0.998
+LEAST_RECALL = 0.9  # at the shortest prefixes; an estimate below is an error
 BLOCK_TEXTS = 512
 BLOCK_WORDS = 2_000_000
 
@@ -238,8 +241,16 @@ def verify(docs: DataFrame, nodes: DataFrame, clusters: DataFrame, doc: str, tex
     return tasks.mapInArrow(work, "id bigint, root bigint, links bigint, missed array<double>")
 
 
-def classes(docs: DataFrame, doc: str = "doc_id", text: str = "text", target: float = TARGET) -> DataFrame:
-    """For every row: (doc_id, node, text_id, class_id, keeper, n_links).
+@dataclass
+class Rounds:
+    """The prefix depths that a join ran at, and the estimated share of the links that each found."""
+
+    depths: list[int] = field(default_factory=list)
+    recall: list[float] = field(default_factory=list)
+
+
+def classes(docs: DataFrame, doc: str = "doc_id", text: str = "text", target: float = TARGET, rounds: Rounds | None = None) -> DataFrame:
+    """For every row: (doc_id, node, text_id, class_id, keeper, n_links). ``rounds`` is filled while the join runs.
 
     ``text_id`` is the least id with the same text, ``class_id`` the least id of all texts linked directly or
     over others, ``keeper`` the node of the class's representative, ``n_links`` the number of different texts
@@ -248,14 +259,18 @@ def classes(docs: DataFrame, doc: str = "doc_id", text: str = "text", target: fl
     signed = cut(signatures(docs, doc, text))
     nodes = signed.groupBy("node", "n_words", "paths").agg(F.min("doc_id").alias("rep"))
     nodes = cut(nodes.withColumn("id", F.monotonically_increasing_id()))
-    depth = DEPTH
+    depth, rounds = DEPTH, Rounds() if rounds is None else rounds
     while True:
         found = cut(verify(docs, nodes, candidate_clusters(nodes, depth), doc, text))
         sums = found.agg(F.sum("links"), *[F.sum(F.get("missed", F.lit(k))) for k in range(DEPTH - LEAST_DEPTH + 1)]).first()
         enough = [d for d in range(LEAST_DEPTH, DEPTH + 1)
                   if not sums[0] or sums[0] / (sums[0] + sums[1 + d - LEAST_DEPTH]) >= target]
         wanted = max(enough, default=LEAST_DEPTH)
+        rounds.depths.append(depth)
+        rounds.recall.append(sums[0] / (sums[0] + sums[1 + depth - LEAST_DEPTH]) if sums[0] else 1.0)
         if wanted >= depth:
+            if rounds.recall[-1] < LEAST_RECALL:
+                raise RuntimeError(f"estimated recall {rounds.recall[-1]:.3f} at the shortest prefixes")
             break
         depth = wanted
     linked = components(found.select(F.col("id").alias("a"), F.col("root").alias("b")))
@@ -270,6 +285,7 @@ def classes(docs: DataFrame, doc: str = "doc_id", text: str = "text", target: fl
 
 def keep_one(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with one row of each class: that of the least id (one of them, where rows repeat)."""
+    names, doc, text, docs = docs.columns, number_of(docs, doc), number_of(docs, text), numbered(docs)
     found = cut(classes(docs, doc, text))
     kept = found.where("node = keeper AND doc_id <=> class_id").groupBy("node", "doc_id").agg(F.count(F.lit(1)).alias("rows"))
     kept = cut(kept.select(F.col("node").alias("_node"), F.col("doc_id").alias("_id"), "rows"))
@@ -278,7 +294,7 @@ def keep_one(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFr
         small(kept, n), (F.col("_n") == F.col("_node")) & F.col(doc).cast("long").eqNullSafe(F.col("_id")), "left_semi")
     if (most or 0) > 1:  # repeated rows: only then another shuffle
         out = out.dropDuplicates(["_n"])
-    return out.drop("_n")
+    return out.drop("_n").toDF(*names)
 
 
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
