@@ -1,0 +1,133 @@
+"""Hostile texts, short benchmark items, prefixes that shorten, clashing columns in every pipeline stage."""
+
+import resource
+import time
+
+import numpy as np
+import public_tokenizers
+import pytest
+import zstandard
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from tests.llm.conftest import DOCS, PASSAGE, SMALL, rows
+from visitlens.llm import decontaminate, jaccard_join, lexicon_bpe, order_minhash, quality, secrets, sharding
+
+WORD = public_tokenizers.path("word_bpe_49k.json")
+TAKEN = ("score", "difference", "n_bytes", "spans", "hit", "_row", "_text", "_hit", "_doc", "key", "_text_key", "_n", "_node", "_id", "rows", "seed", "w",
+         "pos", "node", "label", "paths", "id", "c0", "c1", "cc 1", "a.b", "row")
+
+
+def docs_of(spark, texts):
+    return spark.createDataFrame([(i, t, "en", "s", len(t) if t is not None else None) for i, t in texts], DOCS)
+
+
+@pytest.mark.parametrize("stage", [f for _, f in corpus_pipeline.STAGES[:-1]], ids=[n for n, _ in corpus_pipeline.STAGES[:-1]])
+def test_stages_keep_every_column(spark, stage):
+    texts = [(1, PASSAGE), (1, PASSAGE), (2, None), (3, ""), (None, "a short one"), (4, "token = abcdefghij and more words follow here"), (5, PASSAGE + " x")]
+    plain = docs_of(spark, texts)
+    more = plain.withColumns({c: F.concat(F.lit("mine "), F.coalesce("text", F.lit(""))) for c in TAKEN})
+    got = stage(spark, more, SMALL)
+    assert got.columns == more.columns
+    kept = got.collect()
+    assert all(r[c].startswith("mine ") for r in kept for c in TAKEN)
+    assert sorted(map(str, (tuple(r)[:5] for r in kept))) == sorted(map(str, map(tuple, stage(spark, plain, SMALL).collect())))
+    assert stage(spark, plain.where("false"), SMALL).count() == 0
+    if stage is corpus_pipeline.redact_secrets:
+        assert {r["text"] for r in kept if r["doc_id"] == 4} == {"[SECRET] and more words follow here"}
+
+
+def test_score_and_shards_with_clashing_names(spark, tmp_path):
+    docs = docs_of(spark, [(1, "good text here"), (2, "")]).withColumns({"score": F.lit(7), "difference": F.lit(8), "n_bytes": F.lit(9)})
+    model = quality.Model(b"", b"", (1.0, 0.0, 0.0, 0.0))
+    got = quality.score(docs, model, keep=("doc_id", "difference", "n_bytes"))
+    assert got.columns == ["doc_id", "difference", "n_bytes", "score"] and {(r[1], r[2]) for r in got.collect()} == {(8, 9)}
+    with pytest.raises(ValueError, match="slot"):
+        sharding.write_shards(docs.withColumn("slot", F.lit(1)), str(tmp_path / "s"))
+
+
+def test_a_long_run_of_token_starts_is_read_once(spark):
+    jwt = "eyJ" + "a" * 12 + ".eyJ" + "b" * 12 + ".sig"
+    texts = ["eyJ" * 350_000, "abc" * 350_000, f"x{jwt}", f"({jwt}) {jwt}", jwt]
+    docs = docs_of(spark, list(enumerate(texts)))
+    took = []
+    for k in (1, 0):
+        start = time.time()
+        secrets.scan(docs.where(F.col("doc_id") == k)).select("doc_id", "spans").collect()
+        took.append(time.time() - start)
+    assert took[1] < 2 * took[0] + 5
+    found = {r["doc_id"]: [(s["start"], s["end"]) for s in r["spans"] if secrets.RULES[s["kind"]].kind == "jwt"] for r in secrets.scan(docs.where("doc_id > 1")).collect()}
+    n = len(jwt)
+    assert found == {2: [], 3: [(1, 1 + n), (n + 3, 2 * n + 3)], 4: [(0, n)]}
+
+
+def test_a_long_word_is_in_no_lexicon(spark):
+    rng = np.random.default_rng(0)
+    word = "".join(rng.choice(list("abcdefghij"), 5_000_000))
+    docs = docs_of(spark, [(1, word), (2, f"{word[:200]} {'b' * 64} {'b' * 65}"), (3, "plain words plain")])
+    held = {bytes(r["word"]) for r in lexicon_bpe.word_counts(docs, WORD).collect()}
+    merges = lexicon_bpe.load(WORD, False)[0]
+    assert held == {b"b" * 64, b"plain", b"words"}
+    before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+    blob = lexicon_bpe.compile_lexicon(sorted(held), merges)
+    assert len(blob) < 10_000 and resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before < 300_000  # KB
+    from tokenizers import Tokenizer
+
+    tok = Tokenizer.from_file(WORD)
+    got = dict(rows(lexicon_bpe.encode(docs.where("doc_id > 1"), WORD), "doc_id", "ids"))
+    assert got == {i: tok.encode(t, add_special_tokens=False).ids for i, t in ((2, f"{word[:200]} {'b' * 64} {'b' * 65}"), (3, "plain words plain"))}
+
+
+def test_short_items_are_found_whole(spark):
+    items = spark.createDataFrame([(1, "seven wizards quietly juggle"), (2, "Walls"), (3, "the lazy dog while seven wizards quietly"), (4, ""), (5, None),
+                                   (6, "seven wizards loudly juggle"), (7, PASSAGE), (8, "the lazy")], "item_id long, text string")
+    docs = docs_of(spark, [(1, PASSAGE), (2, "Seven WIZARDS, quietly: juggle! walls walls"), (3, None), (4, "lazy dog"), (5, "dog the lazy")])
+    want = [(1, 1, 1, 10, 13), (1, 2, 1, 19, 19), (1, 3, 1, 6, 12), (1, 8, 1, 6, 7), (2, 1, 1, 0, 3), (2, 2, 2, 4, 5), (5, 8, 1, 1, 2)]
+    for most in (decontaminate.MAX_SEEDS, 3):
+        got = rows(decontaminate.overlaps(docs, items, max_seeds=most), "doc_id", "item_id", "n_hits", "first_word", "last_word")
+        assert [r for r in got if r[1] != 7] == want and [r[:2] for r in got if r[1] == 7] == [(1, 7)]
+
+
+def test_prefixes_shorten_until_the_recall_is_met(spark):
+    """Links just at the threshold: full depth is estimated to miss too many, so the join runs again, and says so."""
+    rng = np.random.default_rng(5)
+    texts = []
+    for k in range(60):
+        words = [f"w{x}" for x in rng.integers(0, 10**6, 104)]
+        texts += [(2 * k, " ".join(words)), (2 * k + 1, " ".join([*words[:93], *[f"v{x}" for x in rng.integers(0, 10**6, 11)]]))]
+    rounds = jaccard_join.Rounds()
+    got = {r["doc_id"]: r["n_links"] for r in jaccard_join.classes(docs_of(spark, texts), rounds=rounds).collect()}
+    assert rounds.depths[0] == jaccard_join.DEPTH and len(rounds.depths) > 1 and rounds.depths == sorted(rounds.depths, reverse=True)
+    assert rounds.recall[0] < jaccard_join.TARGET <= rounds.recall[-1]
+    assert sum(got.values()) >= 2 * 58 and max(got.values()) == 1  # 89 of 111 runs of five words are shared: 0.802
+    easy = jaccard_join.Rounds()
+    jaccard_join.classes(docs_of(spark, [(1, PASSAGE), (2, PASSAGE + " x")]), rounds=easy).collect()
+    assert easy.depths == [jaccard_join.DEPTH] and easy.recall[0] >= jaccard_join.TARGET
+
+
+def test_differences_are_the_sizes_by_the_library(spark):
+    """The score's input against zstandard called directly on blocks of bytes."""
+    texts = [(1, "é" * 700 + " und so weiter " * 40), (2, "plain " * 300), (3, ""), (4, None), (5, "中文" * 400)]
+    bad, good = (quality.train_dictionary([f"{w} line {i} of words {i * 7}".encode() * 3 for i in range(400)]) for w in ("junk", "plain"))
+    got = {r["doc_id"]: (r["difference"], r["n_bytes"]) for r in quality.differences(docs_of(spark, texts), bad, good, ("doc_id", "text")).collect()}
+
+    def size(block, dictionary):
+        data = zstandard.ZstdCompressionDict(dictionary)
+        return len(zstandard.ZstdCompressor(level=quality.LEVEL, dict_data=data, write_content_size=False, write_dict_id=False, write_checksum=False).compress(block))
+
+    for i, t in texts:
+        data = (t or "").encode()
+        blocks = [data[k : k + quality.BLOCK] for k in range(0, len(data), quality.BLOCK)]
+        more = sum(size(b, bad) - size(b, good) for b in blocks)
+        assert got[i] == (pytest.approx(more / max(1, len(data))), len(data))
+
+
+def test_order_is_kept_in_a_fingerprint():
+    """Equal texts share it; moving a half changes it more than replacing a word."""
+    text = " ".join(f"{w}{k * k % 89}" for k, w in enumerate(PASSAGE.split() * 6))
+    f = order_minhash.fingerprint(text)
+    assert order_minhash.likeness(f, order_minhash.fingerprint(text)) == 1.0
+    half = len(text) // 2
+    near = order_minhash.likeness(f, order_minhash.fingerprint(text.replace("seven", "eight", 1)))
+    moved = order_minhash.likeness(f, order_minhash.fingerprint(text[half:] + text[:half]))
+    assert near > moved

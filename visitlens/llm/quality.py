@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from visitlens.llm.common import body, ship_package
+from visitlens.llm.common import body, number_of, numbered, ship_package
 from visitlens.sources.tables import read_table, table_path
 
 BLOCK = 512
@@ -144,11 +144,14 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", doc: str = "
 
 def score(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",), text: str = "text") -> DataFrame:
     """``keep`` columns and ``score``, the probability of label 1, for every whole text."""
-    found = differences(docs, model.bad, model.good, keep, text)
+    kept = docs.select(*keep)
+    names = numbered(kept).columns
+    rows = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(keep, names, strict=True)], *([] if text in keep else [F.col(f"`{text}`").alias("c_text")]))
+    found = differences(rows, model.bad, model.good, tuple(names), number_of(kept, text) if text in keep else "c_text")
     slope, offset, short_offset, short_slope = map(F.lit, model.curve)
     short = F.lit(float(SHORT)) / (F.lit(float(SHORT)) + F.col("n_bytes"))
     logit = F.col("difference") * (slope + short_slope * short) + offset + short_offset * short
-    return found.select(*keep, (F.lit(1.0) / (F.lit(1.0) + F.exp(-logit))).alias("score"))
+    return found.select(*names, (F.lit(1.0) / (F.lit(1.0) + F.exp(-logit))).alias("score")).toDF(*keep, "score")
 
 
 def op4_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -96,8 +96,10 @@ def shard(docs: DataFrame, n_shards: int = N_SHARDS, doc: str = "doc_id", text:
 
 def write_shards(docs: DataFrame, path: str, n_shards: int = N_SHARDS, **options) -> None:
     """Write all columns of ``docs`` as Parquet, one folder for each shard, rows in slot order in each file."""
-    out = shard(docs.drop("size", "text_crc32", "shard", "slot"), n_shards,
-                carry=tuple(c for c in docs.columns if c not in ("doc_id", "size", "text_crc32", "shard", "slot")), **options)
+    taken = {"size", "text_crc32", "shard", "slot"} & set(docs.columns)
+    if taken:
+        raise ValueError(f"columns that the shards add themselves must be renamed first: {', '.join(sorted(taken))}")
+    out = shard(docs, n_shards, carry=tuple(c for c in docs.columns if c != "doc_id"), **options)
     out.repartition("shard", F.expr("slot div 1000000")).sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)
 
 
