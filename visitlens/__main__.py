@@ -20,6 +20,7 @@ from visitlens.plans.job import SessionJob, SessionPlans, run
 from visitlens.schemas import USER_INFO, USER_VISIT_ACTION
 from visitlens.session import build_session, scale_conf
 from visitlens.sinks import ResultSink
+from visitlens.sinks.committed import CommittedSink
 from visitlens.sources.actions import catalog_actions, catalog_users
 from visitlens.sources.task import load_task_params, read_tasks
 
@@ -46,6 +47,8 @@ def parse_args(argv: list[str]) -> argparse.Namespace:
     p.add_argument("--sink-mode", default="append")
     p.add_argument("--sink-option", action="append", default=[])
     p.add_argument("--idempotent", action="store_true", help="file sinks: replace this task's partitions on re-run")
+    p.add_argument("--committed", action="store_true", help="file sinks: the five tables become visible together, by one commit file")
+    p.add_argument("--bucketed", action="store_true", help="--actions-table is a table in buckets by session, with its table of hot sessions")
     p.add_argument("--sample-total", type=int, default=100)
     p.add_argument("--seed", default="42")
     p.add_argument("--materialize", default="persist", choices=["persist", "checkpoint", "none"])
@@ -56,6 +59,10 @@ def parse_args(argv: list[str]) -> argparse.Namespace:
 
 def main(argv: list[str] | None = None, spark=None) -> dict:
     args = parse_args(sys.argv[1:] if argv is None else argv)
+    if args.bucketed and args.input_format:
+        raise ValueError("a table in buckets is read from the catalog, not from a path")
+    if args.committed and args.idempotent:
+        raise ValueError("a committed run replaces the task's earlier one; --idempotent is for the other sink")
     task_id = task_id_from_args([args.task_id] if args.task_id else [])
     spark = spark or build_session(hive=args.hive, conf=scale_conf(args.input_bytes) if args.input_bytes else None)
     tasks = read_tasks(spark, args.tasks_format, args.tasks_path, **_options(args.tasks_option))
@@ -65,14 +72,19 @@ def main(argv: list[str] | None = None, spark=None) -> dict:
         actions = spark.read.format(args.input_format).schema(USER_VISIT_ACTION).load(args.actions_table)
         users = spark.read.format(args.input_format).schema(USER_INFO).load(args.users_table)
     else:
-        actions, users = catalog_actions(spark, args.actions_table), catalog_users(spark, args.users_table)
+        actions = None if args.bucketed else catalog_actions(spark, args.actions_table)
+        users = catalog_users(spark, args.users_table)
 
+    options = _options(args.sink_option)
+    if args.committed:  # checked before any work is done
+        sink = CommittedSink(fmt=args.sink_format, base=args.sink_path, options=options)
+    else:
+        sink = ResultSink(fmt=args.sink_format, base=args.sink_path, mode=args.sink_mode, options=options, idempotent=args.idempotent)
     job = SessionJob(params, task_id=task_id, sample_total=args.sample_total, seed=args.seed)
-    plans = SessionPlans(job, actions, users, materialize_mode=args.materialize)
-    sink = ResultSink(
-        fmt=args.sink_format, base=args.sink_path, mode=args.sink_mode, options=_options(args.sink_option),
-        idempotent=args.idempotent,
-    )
+    if args.bucketed:
+        plans = SessionPlans.from_bucketed(spark, args.actions_table, users, job, materialize_mode=args.materialize)
+    else:
+        plans = SessionPlans(job, actions, users, materialize_mode=args.materialize)
     run(plans, sink)
     return {"task_id": task_id, "params": json.loads(params.to_json())}
 
