@@ -122,6 +122,12 @@ def test_differences_are_the_sizes_by_the_library(spark):
         assert got[i] == (pytest.approx(more / max(1, len(data))), len(data))
 
 
+def test_buckets_lie_evenly(spark):
+    docs = docs_of(spark, [(i, "text") for i in range(40_000)])
+    sizes = [r["n"] for r in order_minhash.with_next(docs).groupBy(F.spark_partition_id()).agg(F.count(F.lit(1)).alias("n")).collect()]
+    assert len(sizes) == order_minhash.LEAST_BUCKETS and max(sizes) <= 1.5 * sum(sizes) / len(sizes)
+
+
 def test_order_is_kept_in_a_fingerprint():
     """Equal texts share it; moving a half changes it more than replacing a word."""
     text = " ".join(f"{w}{k * k % 89}" for k, w in enumerate(PASSAGE.split() * 6))

@@ -27,7 +27,8 @@ from visitlens.sources.tables import read_table
 K = 8
 SKETCHES = 48
 PICK = 2
-ROWS_PER_BUCKET = 20_000
+ROWS_PER_BUCKET = 50_000
+SAMPLED = 48  # ids for each bucket, of which the boundaries are drawn
 LEAST_BUCKETS = 64
 BLOCK = 1 << 21  # hash values held at once
 
@@ -114,7 +115,7 @@ def with_next(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> DataF
 
     Ids are cut into buckets at sampled quantiles; a bucket ends with a ``closing`` row that carries the first
     text of the next bucket (after the last: of the first), so no order over the whole table is needed. Equal
-    ids go by descending text, null ids last.
+    ids go by descending text, null ids last; rows of one id lie in one bucket.
     """
     rows = docs.select(F.col(doc).cast("long").alias("doc_id"), body(text).alias("text"))
     ids = rows.select("doc_id")
@@ -122,10 +123,10 @@ def with_next(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> DataF
     if not n:
         return rows.select(F.lit(0).alias("bucket"), F.lit(0).alias("closing"), "doc_id", "text")
     n_buckets = max(LEAST_BUCKETS, n // ROWS_PER_BUCKET)
-    share = min(1.0, 12 * n_buckets / n)
-    picked = sorted(r[0] for r in ids.where(F.col("doc_id").isNotNull() & (
-        F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < F.lit(int(share * (1 << 30))))).collect())
-    inner = sorted({float(picked[i * len(picked) // n_buckets]) for i in range(1, n_buckets)}) if picked else []
+    share = min(1.0, SAMPLED * n_buckets / n)
+    picked = np.sort(ids.where(F.col("doc_id").isNotNull() & (
+        F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < F.lit(int(share * (1 << 30))))).toArrow().column("doc_id").to_numpy())
+    inner = sorted({float(picked[i * len(picked) // n_buckets]) for i in range(1, n_buckets)}) if len(picked) else []
     splits = [float("-inf"), *inner, float("inf")]
     cutter = Bucketizer(splits=splits, inputCol="_id", outputCol="_bucket", handleInvalid="keep")
     last = len(splits)  # null ids
@@ -143,7 +144,8 @@ def with_next(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> DataF
     ends = closing.join(heads, F.col("head").eqNullSafe(F.col("h"))).select(
         "bucket", F.lit(1).alias("closing"), F.lit(None).cast("long").alias("doc_id"), "text")
     every = bucketed(rows).select("bucket", F.lit(0).alias("closing"), "doc_id", "text").unionByName(ends)
-    return every.repartition("bucket").sortWithinPartitions("bucket", "closing", F.col("doc_id").desc_nulls_last(), F.col("text").desc())
+    # Each bucket in a partition of its own: by hash, some partitions would get several and others none.
+    return every.repartitionById(last, "bucket").sortWithinPartitions("bucket", "closing", F.col("doc_id").desc_nulls_last(), F.col("text").desc())
 
 
 def op5_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
