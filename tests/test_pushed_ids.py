@@ -1,17 +1,15 @@
 """The listed sessions' ids reach the scan, and a table sorted by session is read in part."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from tests.conftest import action, user
 from visitlens.operators.sessions import MAX_PUSHED_IDS, actions_of_ids
 from visitlens.params import TaskParams
 from visitlens.plans import queries as Q
-from visitlens.plans.job import SETTINGS, SessionJob, SessionPlans, run
+from visitlens.plans.job import PUSH_IDS, SPLIT_SKEW, SessionJob, SessionPlans, run
 from visitlens.schemas import USER_VISIT_ACTION
 from visitlens.sinks import ResultSink, write_action_table
-from visitlens.sources.generate import generate_actions
-from pyspark.sql import functions as F
-
 SMALL = "/root/testdata/sf0.001"
 
 
@@ -52,7 +50,7 @@ def test_few_row_groups_are_read(spark, sorted_table):
 
 
 def test_job_pushes_its_ids_and_restores_the_settings(spark):
-    before = {k: spark.conf.get(k, None) for k in SETTINGS}
+    before = {k: spark.conf.get(k, None) for k in PUSH_IDS | SPLIT_SKEW}
     seen = {}
 
     class Looking(ResultSink):
@@ -64,7 +62,7 @@ def test_job_pushes_its_ids_and_restores_the_settings(spark):
     plans = SessionPlans.from_test_tables(spark, SMALL, job, materialize_mode="persist")
     run(plans, Looking())
     assert set(seen.values()) == {str(MAX_PUSHED_IDS)} and len(seen) == 5
-    assert {k: spark.conf.get(k, None) for k in SETTINGS} == before
+    assert {k: spark.conf.get(k, None) for k in before} == before
 
 
 def test_more_ids_than_can_be_pushed(spark, make_actions, make_users):

@@ -27,12 +27,11 @@ TOP_SESSIONS_PER_CATEGORY = 10
 # are small enough to be broadcast by measured size, and the actions are not shuffled at all.
 PREFILTER_FROM = 200_000
 
-# While a job's plans are in use. The skewed semi join of J2 is split only with the first setting, which is read when
-# a plan runs, so it must not depend on who built the session; the second lets the listed ids reach Parquet one by one.
-SETTINGS = {
-    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    "spark.sql.parquet.pushdown.inFilterThreshold": str(sessions.MAX_PUSHED_IDS),
-}
+# Session settings while a job's plans are in use, read when a plan runs, so they must not depend on who built the
+# session. The skewed semi join of J2 is split only with the first one. The second lets listed ids reach Parquet one by
+# one, and is set only where ids are pushed.
+SPLIT_SKEW = {"spark.sql.adaptive.forceOptimizeSkewedJoin": "true"}
+PUSH_IDS = {"spark.sql.parquet.pushdown.inFilterThreshold": str(sessions.MAX_PUSHED_IDS)}
 
 
 @dataclass
@@ -77,7 +76,7 @@ class SessionPlans:
     _folder: str | None = None
 
     def __post_init__(self) -> None:
-        self._settings = Settings(self.action_source.sparkSession, SETTINGS)
+        self._settings = [Settings(self.action_source.sparkSession, SPLIT_SKEW)]
 
     @classmethod
     def from_bucketed(cls, spark: SparkSession, table: str, users: DataFrame, job: SessionJob, **kw) -> SessionPlans:
@@ -247,6 +246,7 @@ class SessionPlans:
         push = self._shares if self.push_ids is None else self.push_ids
         if not push or self._listed_bound > sessions.MAX_PUSHED_IDS:
             return None
+        self._settings.append(Settings(self.action_source.sparkSession, PUSH_IDS))
         return [r["session_id"] for r in self._listed_ids.collect()]
 
     @cached_property
@@ -294,7 +294,8 @@ class SessionPlans:
         if self._folder is not None:
             drop_folder(self.action_source.sparkSession, self._folder)
             self._folder = None
-        self._settings.restore()
+        while self._settings:
+            self._settings.pop().restore()
 
 
 def run(plans: SessionPlans, sink: ResultSink) -> dict[str, int | None]:
