@@ -97,7 +97,8 @@ def write_bucketed_actions(actions: DataFrame, table: str, buckets: int, path: s
     reads one bucket of all dates of the range. One task must never get a hot session with its bucket, so sessions of
     more than ``hot_rows`` actions go to the table ``<table>_hot``, laid out like ``write_action_table``; a bucket
     holds at most ``hot_rows`` rows of any session. Rows without a session id go there too. There are at most rows / ``hot_rows`` hot ids; they are written
-    once and broadcast only when counted small. Both tables replace older ones.
+    once and broadcast only when counted small. Both tables replace older ones. There is a file for each bucket and date, so
+    ``buckets`` is chosen by the bytes that one task should read of a usual date range.
     """
     spark = actions.sparkSession
     sizes = actions.where(F.col("session_id").isNotNull()).groupBy("session_id").agg(F.count(F.lit(1)).alias("n"))
