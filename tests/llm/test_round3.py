@@ -1,5 +1,7 @@
 """Hostile texts, short benchmark items, prefixes that shorten, clashing columns in every pipeline stage."""
 
+import math
+import re
 import resource
 import time
 
@@ -11,7 +13,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tests.llm.conftest import DOCS, PASSAGE, SMALL, rows
-from visitlens.llm import decontaminate, jaccard_join, lexicon_bpe, order_minhash, quality, secrets, sharding
+from visitlens.llm import decontaminate, jaccard_join, lexicon_bpe, order_minhash, quality, secrets, sharding, toxicity
 
 WORD = public_tokenizers.path("word_bpe_49k.json")
 TAKEN = ("score", "difference", "n_bytes", "spans", "hit", "_row", "_text", "_hit", "_doc", "key", "_text_key", "_n", "_node", "_id", "rows", "seed", "w",
@@ -137,3 +139,37 @@ def test_order_is_kept_in_a_fingerprint():
     near = order_minhash.likeness(f, order_minhash.fingerprint(text.replace("seven", "eight", 1)))
     moved = order_minhash.likeness(f, order_minhash.fingerprint(text[half:] + text[:half]))
     assert near > moved
+
+
+def test_shards_by_replay(spark):
+    """In the order of shards and slots every row lies where the running bytes put its middle."""
+    got = sorted((r["shard"], r["slot"], r["size"]) for r in sharding.shard(spark.read.parquet(f"{SMALL}/documents.parquet"), 24).collect())
+    total, before, slot = sum(s for _, _, s in got), 0, {}
+    for shard, place, size in got:
+        assert shard == min(23, (2 * before + size) * 24 // (2 * total)) and place == slot.get(shard, 0)
+        before, slot[shard] = before + size, place + 1
+
+
+def test_chain_by_plain_sums(spark, monkeypatch):
+    """Scores from the model's words in plain Python; the later model's input comes from models that did not see the row."""
+    rng = np.random.default_rng(3)
+    texts = [(i, " ".join(rng.choice(["vile", "awful", "mild", "fine", "good", "plain", "Über", "x9y"], 12))) for i in range(300)]
+    rows_ = [(i, int("good" in t), int(t.count("vile") > 1 and "good" not in t)) for i, t in texts]
+    labels = spark.createDataFrame(rows_, "doc_id long, quality int, toxic int")
+    seen = []
+    real = toxicity.train
+    monkeypatch.setattr(toxicity, "train", lambda x, y: seen.append((x.copy(), y.copy(), w := real(x, y))) or w)
+    chain = toxicity.fit(docs_of(spark, texts), labels)
+    sizes, folds = [len(y) for _, y, _ in seen], toxicity.FOLDS
+    assert len(seen) == folds + 2 and sizes[0] == sizes[-1] == 300
+    assert sum(sizes[1:-1]) == (folds - 1) * 300 and all(0 < n < 300 for n in sizes[1:-1])
+    x, y, _ = seen[-1]
+    inside = 1 / (1 + np.exp(-(seen[0][2][0] + seen[0][0] @ seen[0][2][1:])))  # by the model that saw every row
+    assert x.shape[1] == len(chain.models[1].words) + 1 and not np.allclose(x[:, -1], inside, atol=1e-6) and np.corrcoef(x[:, -1], inside)[0, 1] > 0.9
+    for r in chain.score(docs_of(spark, [*texts[:20], (999, None), (1000, "")])).collect():
+        words = set(re.findall(r"[^\W\d_]+", (dict(texts).get(r["doc_id"]) or "").lower()))
+        p = []
+        for model in chain.models:
+            logit = model.offset + sum(w for word, w in model.words.items() if word in words) + sum(a * b for a, b in zip(model.earlier, p))
+            p.append(1 / (1 + math.exp(-logit)))
+        assert (r["p_quality"], r["p_toxic"]) == (pytest.approx(p[0]), pytest.approx(p[1]))
